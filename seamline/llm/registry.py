@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from seamline.llm import mixing
+from seamline.llm import jaccard, mixing
 
 _MODULES = {
+    "op7_jaccard": (jaccard.op7_jaccard, None),
     "op3_mixing": (mixing.op3_mixing, mixing.OP3_SQL),
 }
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from seamline.llm import jaccard, mixing
+from seamline.llm import decontaminate, jaccard, mixing, pii
 
 _MODULES = {
+    "op4_pii": (pii.op4_pii, None),
+    "op6_decontaminate": (decontaminate.op6_decontaminate, decontaminate.OP6_SQL),
     "op7_jaccard": (jaccard.op7_jaccard, None),
     "op3_mixing": (mixing.op3_mixing, mixing.OP3_SQL),
 }

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from seamline.llm import decontaminate, jaccard, mixing, pii
+from seamline.llm import decontaminate, jaccard, mixing, pii, vectors
 
 _MODULES = {
     "op4_pii": (pii.op4_pii, None),
     "op6_decontaminate": (decontaminate.op6_decontaminate, decontaminate.OP6_SQL),
     "op7_jaccard": (jaccard.op7_jaccard, None),
+    "op8_vectors": (vectors.op8_vectors, None),
     "op3_mixing": (mixing.op3_mixing, mixing.OP3_SQL),
 }
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from seamline.llm import decontaminate, jaccard, mixing, pii, vectors
+from seamline.llm import decontaminate, jaccard, language, mixing, pii, vectors
 
 _MODULES = {
+    "op1_language": (language.op1_language, None),
     "op4_pii": (pii.op4_pii, None),
     "op6_decontaminate": (decontaminate.op6_decontaminate, decontaminate.OP6_SQL),
     "op7_jaccard": (jaccard.op7_jaccard, None),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seamline.llm import decontaminate, jaccard, language, mixing, pii, quality, vectors
+from seamline.llm import decontaminate, jaccard, language, mixing, pii, quality, toxicity, vectors
 
 _MODULES = {
     "op1_language": (language.op1_language, None),
@@ -11,6 +11,7 @@ _MODULES = {
     "op7_jaccard": (jaccard.op7_jaccard, None),
     "op8_vectors": (vectors.op8_vectors, None),
     "op9_quality": (quality.op9_quality, None),
+    "op2_toxicity": (toxicity.op2_toxicity, None),
     "op3_mixing": (mixing.op3_mixing, mixing.OP3_SQL),
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seamline.llm import decontaminate, jaccard, language, mixing, pii, quality, toxicity, vectors
+from seamline.llm import decontaminate, jaccard, language, licences, mixing, passages, pii, quality, toxicity, vectors
 
 _MODULES = {
     "op1_language": (language.op1_language, None),
@@ -12,6 +12,8 @@ _MODULES = {
     "op8_vectors": (vectors.op8_vectors, None),
     "op9_quality": (quality.op9_quality, None),
     "op2_toxicity": (toxicity.op2_toxicity, None),
+    "op5_passages": (passages.op5_passages, None),
+    "op10_licences": (licences.op10_licences, None),
     "op3_mixing": (mixing.op3_mixing, mixing.OP3_SQL),
 }
 

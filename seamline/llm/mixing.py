@@ -54,10 +54,8 @@ def targets(sizes: DataFrame) -> DataFrame:
     level = (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0))).cast("double") / (
         F.col("weights") - F.coalesce(F.sum("weight").over(before), F.lit(0))
     )
-    levels = ranked.withColumn("level", level)
-    first = F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything)
-    share = F.least(F.col("cap").cast("double"), F.col("weight") * first)
-    return levels.select("key", "source_size", F.coalesce(share, F.lit(0.0)).alias("target"))
+    # The level rises while sources below it are capped, and falls if one above it were.
+    return ranked.withColumn("level", level).select("key", "source_size", F.least(F.col("cap").cast("double"), F.col("weight") * F.max("level").over(everything)).alias("target"))
 
 
 def mix(docs: DataFrame, stash: Stash, keep: list[str]) -> DataFrame:
@@ -68,7 +66,7 @@ def mix(docs: DataFrame, stash: Stash, keep: list[str]) -> DataFrame:
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"),
         size_of(F.col("text")).alias("size"),
     ).withColumn("bucket", F.substring("h", 1, BUCKET_DIGITS))
-    sums = stash.put("mix", keyed.groupBy("key", "bucket").agg(F.sum("size").alias("bucket_size")))
+    sums = stash.put("mix", keyed.groupBy("key", "bucket").agg(F.sum("size").alias("bucket_size")), small=True)
     offset = F.sum("bucket_size").over(Window.partitionBy("key").orderBy("bucket")) - F.col("bucket_size")
     offsets = sums.select("key", "bucket", offset.alias("offset"))
     goals = targets(sums.groupBy("key").agg(F.sum("bucket_size").alias("source_size")))
@@ -126,7 +124,7 @@ l AS (SELECT *, CAST((SELECT sum(source_size) FROM s) - coalesce(sum(cap) OVER b
               / ((SELECT sum(weight) FROM s) - coalesce(sum(weight) OVER b, 0)) AS level
       FROM r WINDOW b AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT source, source_size,
-             coalesce(least(CAST(cap AS DOUBLE), weight * (SELECT min(level) FROM l WHERE level <= ratio)), 0.0) AS target FROM l),
+             least(CAST(cap AS DOUBLE), weight * (SELECT max(level) FROM l)) AS target FROM l),
 p AS (SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target + 0.5) AS quota,
              sum(d.size) OVER (PARTITION BY d.source ORDER BY h, size ROWS UNBOUNDED PRECEDING) - d.size AS prefix
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)

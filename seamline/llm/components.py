@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +43,16 @@ def components(edges: DataFrame, stash: Stash, name: str) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def link_labels(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Component numbers of the two sides of a link matrix."""
+    rows, columns = links.shape
+    low, high = np.arange(rows), np.arange(columns) + rows
+    none = rows + columns
+    while True:
+        left = np.minimum(low, np.where(links, high[None, :], none).min(1))
+        right = np.minimum(high, np.where(links, left[:, None], none).min(0))
+        if (left == low).all() and (right == high).all():
+            return low, high
+        low, high = left, right

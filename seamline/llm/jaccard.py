@@ -9,9 +9,12 @@ pair. Lists are never expanded into pairs:
 * each list is compared with a hub first; documents close to the hub join its
   component at once, and the overlap with the hub is kept as a computed answer;
 * documents that stay outside are compared with the rest of the list, block by
-  block of set sizes (other blocks are skipped), by positions in the prefixes,
-  and only if the answers of their hubs leave room: with overlaps x and y with
-  the same hub, two sets share at most min(x, y) + min(|A| - x, |B| - y).
+  block of set sizes (other blocks are skipped), by positions in the prefixes
+  and the number of shared prefix shingles, and only if the answers of their hubs leave room: with overlaps x and y with
+  the same hub, two sets share at most min(x, y) + min(|A| - x, |B| - y);
+* what is left of long lists, the families of near copies, meets in blocks of
+  bounded size, where each answer is derived from the two sets' differences
+  from the hub. A block returns a spanning forest, never pairs.
 
 The set of frequent shingles only orders the index. It holds at most
 ``FREQUENT`` shingles; any choice gives the same links.
@@ -26,18 +29,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seamline.llm.common import Stash, bounded, python_batches, table
-from seamline.llm.components import components
+from seamline.llm.components import components, link_labels
 from seamline.llm.shingles import mix64, shingle_set
 
 #: Size of the dictionary of frequent shingles, and the count from which one is frequent.
 FREQUENT, OFTEN = 200_000, 48
 #: Rounds of comparing each list with a hub before the rest is compared.
-HUBS = 3
+HUBS = 2
+#: Longest list whose documents may meet in a join; those of longer ones meet in blocks of so many sets and items.
+LIGHT, BLOCK_SETS, BLOCK_ITEMS = 64, 1024, 1 << 19
 #: Ids that are broadcast to pick texts; more go through a shuffle.
 IDS = 2_000_000
 
@@ -122,6 +128,80 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(shared, pa.int64())], names=["a", "b", "na", "nb", "shared"])
 
 
+def _compare_families(members: DataFrame, texts: DataFrame, classes: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
+    """(a, b) linking what belongs together among ``members`` of the same hub; blocks of members meet in pairs."""
+    sets = stash.put("family-sets", _sets_of(members.select("cid").distinct(), texts, classes, stash, "family", k))
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_ITEMS), F.ceil(F.count("*") / BLOCK_SETS)).cast("int")
+    sizes = stash.put("families", members.groupBy("hub").agg(blocks.alias("nb")))
+    own = F.pmod(F.xxhash64(F.lit(11), "cid"), F.col("nb")).cast("int")
+    rows = members.join(sizes, "hub").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    rows = rows.select("hub", F.least("own", "with").alias("bi"), F.greatest("own", "with").alias("bj"), "own", "cid", "comp")
+    every = F.sequence(F.lit(0), F.col("nb") - 1)
+    hubs = sizes.withColumn("bi", F.explode(every)).withColumn("bj", F.explode(every)).where("bi <= bj")
+    hubs = hubs.select("hub", "bi", "bj", F.lit(-1).alias("own"), F.col("hub").alias("cid"), F.lit(0).cast("long").alias("comp"))
+    return rows.unionByName(hubs).join(sets, "cid").groupBy("hub", "bi", "bj").applyInPandas(_family(percent), "a long, b long")
+
+
+def _sets_of(ids: DataFrame, texts: DataFrame, classes: DataFrame, stash: Stash, name: str, k: int) -> DataFrame:
+    """(cid, items) of the classes ``ids``, read from the text of one document each."""
+    wanted = stash.put(f"{name}-ids", ids.join(classes, "cid").select("cid", F.col("rep").alias("doc_id")))
+    return texts.join(bounded(wanted, IDS), "doc_id").select("cid", "text").mapInArrow(_sets(k), "cid long, items binary").dropDuplicates(["cid"])
+
+
+def _family(percent: int):
+    """Compare the members of a family through their differences from the hub.
+
+    With r items of the hub missing and some others added, two members share
+    |hub| - r1 - r2 + (items in which both differ from the hub), so only the
+    differences are multiplied. Members of one component are not compared.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        hub = np.frombuffer(pdf.loc[pdf["own"] < 0, "items"].iloc[0], np.uint64)
+        part = pdf[pdf["own"] >= 0]
+        left = part[part["own"] == part["bi"]]
+        right = part[part["own"] == part["bj"]]
+        none = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+        if not len(left) or not len(right):
+            return none
+        comp1, comp2 = left["comp"].to_numpy(), right["comp"].to_numpy()
+        todo = comp1[:, None] != comp2[None, :]
+        read = lambda x: [np.frombuffer(v, np.uint64) for v in x["items"]]
+        one, two = read(left), read(right)
+        n1, n2 = np.array([len(x) for x in one]), np.array([len(x) for x in two])
+        least = -(-percent * (n1[:, None] + n2[None, :]) // (100 + percent))
+        todo &= np.minimum(n1[:, None], n2[None, :]) >= least
+        if not todo.any():
+            return none
+        gone = lambda sets: np.array([len(hub) - len(np.intersect1d(x, hub, assume_unique=True)) for x in sets])
+        r1, r2 = gone(one), gone(two)
+        d1, d2 = ([np.setxor1d(x, hub, assume_unique=True) for x in sets] for sets in (one, two))
+        shared = (len(hub) - r1[:, None] - r2[None, :]).astype(np.float32)
+        items = np.intersect1d(np.concatenate(d1), np.concatenate(d2))
+        for start in range(0, len(items), 4096):
+            some = items[start : start + 4096]
+            x, y = (_incidence(d, some) for d in (d1, d2))
+            shared += x @ y.T
+        links = todo & (np.rint(shared) >= least)
+        if not links.any():
+            return none
+        low, high = link_labels(links)
+        names = np.concatenate([left["cid"].to_numpy(), right["cid"].to_numpy()])
+        out = pd.DataFrame({"a": names, "b": names[np.concatenate([low, high])]})
+        return out[out["a"] != out["b"]]
+
+    return run
+
+
+def _incidence(sets: list[np.ndarray], items: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sets), len(items)), np.float32)
+    for i, x in enumerate(sets):
+        at = np.searchsorted(items, x)
+        at[at == len(items)] = 0
+        out[i, at[items[at] == x]] = 1
+    return out
+
+
 def groups(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; ``percent`` is the similarity from which two sets link."""
     spark = docs.sparkSession
@@ -140,20 +220,35 @@ def groups(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
     postings = single.mapInArrow(_postings(k, percent, frequent), "tok long, cid long, n int, place int")
     index = stash.put(
         "index",
-        postings.withColumn("least", F.min("cid").over(listed))
+        postings.withColumn("hub", F.min("cid").over(listed))
+        .withColumn("many", F.count("*").over(listed) > LIGHT)
         .withColumn("most", F.max("cid").over(listed))
-        .where("least <> most")
-        .select("tok", "cid", "n", "place")
+        .where("hub <> most")
+        .select("tok", "cid", "n", "place", "hub", "many")
         .distinct(),
     )
-    wanted = index.select("cid").distinct().join(classes, "cid").select("cid", F.col("rep").alias("doc_id"))
-    wanted = stash.put("wanted", wanted)
-    sets = stash.put("sets", texts.join(bounded(wanted, IDS), "doc_id").select("cid", "text").mapInArrow(_sets(k), "cid long, items binary").dropDuplicates(["cid"]))
 
     def verified(name: str, pairs: DataFrame) -> DataFrame:
+        """``pairs`` with their overlaps; only the texts of documents in a pair are read into sets."""
+        pairs = stash.put(f"{name}-pairs", pairs)
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+        sets = stash.put(f"{name}-sets", _sets_of(ids, texts, classes, stash, name, k))
         x = sets.select(F.col("cid").alias("a"), F.col("items").alias("x"))
         y = sets.select(F.col("cid").alias("b"), F.col("items").alias("y"))
-        return stash.put(name, pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y").mapInArrow(_overlaps, "a long, b long, na long, nb long, shared long"))
+        joined = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
+        out = stash.put(name, joined.mapInArrow(_overlaps, "a long, b long, na long, nb long, shared long"))
+        stash.drop(f"{name}-sets")
+        return out
+
+    def enough(pairs: DataFrame) -> DataFrame:
+        """Pairs that share so many prefix shingles that they may be similar.
+
+        Common shingles outside of both prefixes lie behind the prefix that ends
+        first, so a pair shares at most those counted and one of the two rests.
+        """
+        rest = F.greatest(*(F.ceil(F.col(n) * percent / 100 - 1e-9) - 1 for n in ("na", "nb")))
+        least = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent) - 1e-9)
+        return pairs.groupBy("a", "b", "na", "nb").count().where(F.col("count") + rest >= least).drop("count")
 
     alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     linked = 100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))
@@ -172,8 +267,8 @@ def groups(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
             .where("comp <> hub.comp")
             .select(F.col("cid").alias("a"), F.col("hub.cid").alias("b"), F.col("n").cast("long").alias("na"), F.col("hub.n").cast("long").alias("nb"))
             .where(alike)
-            .distinct()
         )
+        pairs = enough(pairs)
         if answers is not None:
             pairs = pairs.join(answers, ["a", "b"], "left_anti")
         done = verified(f"turn{turn}", pairs)
@@ -186,15 +281,20 @@ def groups(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
     hubs = answers.select(F.col("b").alias("cid"), F.col("b").alias("near"), F.col("nb").alias("held")).distinct()
     known = best.unionByName(hubs.join(best, "cid", "left_anti"))
     placed = index.join(labels, "cid", "left").join(known, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    listed = Window.partitionBy("tok")
     mixed = (
         placed.withColumn("main", F.min(F.struct("cid", "comp")).over(listed)["comp"])
         .withColumn("other", F.max(F.col("comp") != F.col("main")).over(listed))
         .where("other")
-        .withColumn("block", F.floor(F.log("n") / float(-np.log(percent / 100))).cast("int"))
     )
     mixed = stash.put("mixed", mixed)
-    side = lambda s: [F.col(c).alias(f"{c}{s}") for c in ("cid", "n", "place", "comp", "near", "held")]
+    members = stash.put("members", mixed.where("many").select("cid", "hub", "n", "comp").distinct())
+    families = members.groupBy("cid").agg(F.collect_set("hub").alias("hubs"))
+    dense = stash.put("dense", _compare_families(members, texts, classes, stash, k, percent))
+    mixed = mixed.where("NOT many").join(families, "cid", "left").withColumn("hubs", F.coalesce("hubs", F.array().cast("array<bigint>")))
+    mixed = (
+        mixed.withColumn("block", F.floor(F.log("n") / float(-np.log(percent / 100))).cast("int"))
+    )
+    side = lambda s: [F.col(c).alias(f"{c}{s}") for c in ("cid", "n", "place", "comp", "near", "held", "hubs")]
     left = mixed.where("comp <> main").select("tok", F.explode(F.array(*(F.col("block") + d for d in (-1, 0, 1)))).alias("block"), *side(1))
     right = mixed.select("tok", "block", (F.col("comp") == F.col("main")).alias("inner"), *side(2))
     least = F.ceil(percent * (F.col("n1") + F.col("n2")) / (100 + percent) - 1e-9)
@@ -203,13 +303,13 @@ def groups(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
     rest = (
         left.join(right, ["tok", "block"])
         .where((F.col("comp1") != F.col("comp2")) & (F.col("inner") | (F.col("cid1") < F.col("cid2"))))
+        .where(~F.arrays_overlap("hubs1", "hubs2"))
         .where((100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (reach >= least))
         .where(F.col("near1").isNull() | F.col("near2").isNull() | (F.col("near1") != F.col("near2")) | (room >= least))
         .select(F.col("cid1").alias("a"), F.col("cid2").alias("b"), F.col("n1").cast("long").alias("na"), F.col("n2").cast("long").alias("nb"))
-        .distinct()
     )
-    last = verified("rest", rest.join(answers, ["a", "b"], "left_anti"))
-    joined = components(found.unionByName(last.where(linked).select("a", "b")), stash, "ccz")
+    last = verified("rest", enough(rest).join(answers, ["a", "b"], "left_anti"))
+    joined = components(found.unionByName(last.where(linked).select("a", "b")).unionByName(dense), stash, "ccz")
     named = joined.join(classes, joined["node"] == classes["cid"]).select("cid", "component", "rep")
     least_of = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     final = classes.join(named.join(least_of, "component").select("cid", "component_id"), "cid", "left").select("cid", F.coalesce("component_id", "rep").alias("component_id"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seamline.llm.common import Stash, python_batches, table
-from seamline.llm.components import components
+from seamline.llm.components import components, link_labels
 
 SAMPLE, PER_LIST, LISTS, PROBES = 16_384, 256, 1024, 8
 SUBSPACES, CODES, BLOCK, TURNS = 8, 256, 2048, 8
@@ -97,19 +97,6 @@ def _coder(model):
     return run
 
 
-def _labels(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Component numbers of the two sides of a link matrix."""
-    rows, columns = links.shape
-    low, high = np.arange(rows), np.arange(columns) + rows
-    none = rows + columns
-    while True:
-        left = np.minimum(low, np.where(links, high[None, :], none).min(1))
-        right = np.minimum(high, np.where(links, left[:, None], none).min(0))
-        if (left == low).all() and (right == high).all():
-            return low, high
-        low, high = left, right
-
-
 def _compare(model, cosine: float):
     reach = np.sqrt(2 - 2 * cosine)
 
@@ -142,7 +129,7 @@ def _compare(model, cosine: float):
                 links[part] = mine & (q[part] @ b.T >= cosine)
         if not links.any():
             return empty
-        low, high = _labels(links)
+        low, high = link_labels(links)
         names = np.concatenate([q_id, b_id])
         counts = np.concatenate([links @ base["m"].to_numpy(), links.T @ query["m"].to_numpy()])
         out = pd.DataFrame({"cid": names, "other": names[np.concatenate([low, high])], "links": counts})

@@ -2,9 +2,30 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import importlib
+from collections.abc import Callable
+
+from seamline.sources.views import oracle as with_views
+
+QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
+FLAGSHIP = "pose_coarse_search"
+_MODULES = ("runlog", "sequences", "names", "tokens", "streets", "places", "fits", "connectors")
+
+
+def query(sql: str | None = None) -> Callable:
+    """Register a function of (spark, sf_dir) under its name, with the SQL that must give the same rows."""
+
+    def add(run: Callable) -> Callable:
+        QUERIES[run.__name__] = run
+        if sql:
+            ORACLES[run.__name__] = with_views(sql)
+        return run
+
+    return add
 
 
 def load() -> None:
-    """Import the plan modules; each adds to ``QUERIES`` and ``ORACLES``."""
+    """Import the plan modules; each registers its queries."""
+    for name in _MODULES:
+        importlib.import_module(f"seamline.plans.{name}")

@@ -59,9 +59,8 @@ def _split_fused(words: Column) -> Column:
 
 def _named(words: Column) -> Column:
     typ = F.when(F.size(words) > 1, type_of(F.try_element_at(words, F.lit(-1))))
-    cut = lambda t: F.struct(
-        F.array_join(F.when(t.isNull(), words).otherwise(F.slice(words, F.lit(1), F.size(words) - 1)), " ").alias("name"), t.alias("typ")
-    )
+    rest = lambda t: F.when(t.isNull(), words).otherwise(F.slice(words, F.lit(1), F.size(words) - 1))
+    cut = lambda t: F.named_struct(F.lit("name"), F.array_join(rest(t), " "), F.lit("typ"), t)
     return let(typ, cut)
 
 

@@ -53,7 +53,7 @@ def alias_table(spark: SparkSession, text: str) -> DataFrame:
     """(label, streets) of a JSON dictionary; keys that begin with an underscore are comments, an empty list silences a label."""
     rows = [(k.upper().strip(), list(v)) for k, v in json.loads(text).items() if not k.startswith("_")]
     made = spark.createDataFrame(rows, "label string, streets array<string>")
-    return made.select("label", F.transform("streets", X.canon).alias("streets"))
+    return made.select("label", F.transform("streets", lambda s: X.canon(s)).alias("streets"))
 
 
 def epsg_of(crs: str | None) -> int | None:

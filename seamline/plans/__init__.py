@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 from collections.abc import Callable
 
+from seamline.session import ship
 from seamline.sources.views import oracle as with_views
 
 QUERIES: dict[str, Callable] = {}
@@ -17,7 +19,12 @@ def query(sql: str | None = None) -> Callable:
     """Register a function of (spark, sf_dir) under its name, with the SQL that must give the same rows."""
 
     def add(run: Callable) -> Callable:
-        QUERIES[run.__name__] = run
+        @functools.wraps(run)
+        def shipped(spark, sf_dir):
+            ship(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[run.__name__] = shipped
         if sql:
             ORACLES[run.__name__] = with_views(sql)
         return run

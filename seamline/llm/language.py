@@ -193,8 +193,11 @@ def identify(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:
     return docs.select(*keep, "text").mapInArrow(run, f"{kinds}, lang_pred string, score double")
 
 
-def of_known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """``docs`` without rows that are ``und`` or whose language is not likelier than not; whole rows pass through the model."""
+def of_known_language(docs: DataFrame, least: float = 0.35) -> DataFrame:
+    """``docs`` without rows that are ``und`` or whose best language is hardly likelier than any; whole rows pass through the model.
+
+    The bar is low on purpose: short and mixed texts of a known language stay.
+    """
     model = learn(docs.where(id_mod("doc_id", 4) != 2).select("doc_id", "text", "lang"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -17,7 +17,7 @@ SHINGLE, SIMILAR = 5, 80
 
 
 def of_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with more than even odds."""
+    """Documents in a language that the model knows."""
     return language.of_known_language(docs)
 
 

@@ -8,7 +8,8 @@ logistic regression over the words that mark labelled rows as toxic, read from
 the restored text, gives the score.
 
 The regression learns from at most ``ROWS`` labelled rows, picked by a hash,
-and uses at most ``LEXICON`` words; everything else covers all rows.
+and uses at most ``LEXICON`` words, each ``TIMES`` as frequent in toxic rows as
+overall; everything else covers all rows.
 
 Defined cases: null and empty texts have no words and get the base rate; labels
 that are null or have no document are not learned from; with no labels all
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from seamline.llm.common import Stash, bounded, id_mod, python_batches, table
 
-ROWS, LEXICON, LEAST, RATIO, RIDGE = 20_000, 300, 8, 12.0, 1.0
+ROWS, LEXICON, LEAST, RATIO, TIMES, RIDGE = 20_000, 300, 6, 10.0, 3.0, 0.1
 #: Symbols of the character model: blank, a to z, other letters.
 SYMBOLS = 28
 #: Letters a digit or sign may stand for (fixed values).
@@ -244,7 +245,7 @@ def learn(docs: DataFrame, labels: DataFrame, logs, stash: Stash) -> dict | None
     expect = F.col("n") / F.lit(n1 + n0)
     part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     ratio = 2 * (part(a, expect * n1) + part(b, expect * n0) + part(n1 - a, (1 - expect) * n1) + part(n0 - b, (1 - expect) * n0))
-    top = seen.withColumn("ratio", ratio).where((a > expect * n1) & (F.col("ratio") >= RATIO)).orderBy(F.desc("ratio"), "word").limit(LEXICON).collect()
+    top = seen.withColumn("ratio", ratio).where((a >= TIMES * expect * n1) & (F.col("ratio") >= RATIO)).orderBy(F.desc("ratio"), "word").limit(LEXICON).collect()
     lexicon = sorted(r["word"] for r in top)
     fitted = rows.repartition(1).sortWithinPartitions("y", F.xxhash64("words")).mapInPandas(_fit(lexicon), "w binary").collect()
     return {"lexicon": lexicon, "w": np.frombuffer(fitted[0]["w"])} if fitted else None

@@ -18,9 +18,10 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamline.llm.common import Stash, bounded, table
+from seamline.llm.common import Stash, bounded, few, table
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What parts words, once A-Z are lower-cased. Splitting at it is several times faster than matching the words.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: Rows of the benchmark's vocabulary, its anchors and candidate ids up to which they are broadcast.
 WORDS_CAP, IDS_CAP = 500_000, 1_000_000
@@ -28,12 +29,23 @@ WORDS_CAP, IDS_CAP = 500_000, 1_000_000
 
 def lowered(text: Column) -> Column:
     """A-Z as a-z; other letters stay. Plain ASCII texts take the fast function."""
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+
+
+def parts(text: Column) -> Column:
+    """Words in order; the first and the last part may be empty, which no word equals."""
+    return F.split(F.coalesce(lowered(text), F.lit("")), GAP)
 
 
 def words(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    return F.filter(parts(text), lambda w: w != "")
+
+
+def word_count(text: Column) -> Column:
+    """Number of words of a text, 0 for null."""
+    split = F.split(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    return F.transform(F.array(split), lambda w: F.size(w) - (w[0] == "").cast("int") - ((F.size(w) > 1) & (F.element_at(w, -1) == "")).cast("int"))[0].cast("long")
 
 
 def row_key() -> list[Column]:
@@ -44,9 +56,9 @@ def row_key() -> list[Column]:
 def anchors(bench: DataFrame, docs: DataFrame, stash: Stash) -> DataFrame:
     """(word, item, item_id, place): the rarest word of every window, once per place in its item."""
     items = bench.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("item")).where(F.size("item") > 0).distinct()
-    vocabulary = stash.put("vocabulary", items.select(F.explode("item").alias("word")).distinct())
-    said = docs.select(F.explode(words(F.col("text"))).alias("word"))
-    counts = stash.put("counts", said.join(bounded(vocabulary, WORDS_CAP), "word").groupBy("word").count())
+    vocabulary = stash.put("vocabulary", items.select(F.explode("item").alias("word")).distinct(), small=True)
+    said = docs.select(F.explode(parts(F.col("text"))).alias("word"))
+    counts = stash.put("counts", said.join(bounded(vocabulary, WORDS_CAP), "word").groupBy("word").count(), small=True)
     placed = items.select("item_id", "item", F.posexplode("item").alias("place", "word")).join(counts, "word", "left")
     ranked = placed.groupBy("item_id", "item").agg(
         F.array_sort(F.collect_list(F.struct("place", F.coalesce("count", F.lit(0)).alias("count"), "word"))).alias("ranked")
@@ -54,17 +66,17 @@ def anchors(bench: DataFrame, docs: DataFrame, stash: Stash) -> DataFrame:
     width = F.least(F.lit(WINDOW), F.size("item"))
     order = F.transform("ranked", lambda x: F.struct(x["count"], x["word"], x["place"]))
     rarest = F.transform(F.sequence(F.lit(1), F.size("item") - width + 1), lambda i: F.array_min(F.slice(order, i, width)))
-    return stash.put("anchors", ranked.select("item_id", "item", F.explode(F.array_distinct(rarest)).alias("best")).where("best.count > 0").select("item_id", "item", F.col("best.word").alias("word"), F.col("best.place").alias("place")))
+    return stash.put("anchors", ranked.select("item_id", "item", F.explode(F.array_distinct(rarest)).alias("best")).where("best.count > 0").select("item_id", "item", F.col("best.word").alias("word"), F.col("best.place").alias("place")), small=True)
 
 
 def contamination(docs: DataFrame, bench: DataFrame, stash: Stash) -> DataFrame:
     """(k1, k2, n_hit, ids) of rows with an occurring window."""
     keys = anchors(bench, docs, stash)
-    said = docs.select(*row_key(), F.posexplode(words(F.col("text"))).alias("at", "word"))
+    said = docs.select(*row_key(), F.posexplode(parts(F.col("text"))).alias("at", "word"))
     met = said.join(bounded(keys, WORDS_CAP), "word").select("k1", "k2", "item_id", "item", (F.col("at") - F.col("place")).alias("shift"))
-    candidates = stash.put("candidates", met.distinct())
+    candidates = stash.put("candidates", met.distinct(), small=True)
     ids = bounded(candidates.select("k1", "k2").distinct(), IDS_CAP)
-    texts = docs.select(*row_key(), "text").join(ids, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("k1", "k2", words(F.col("text")).alias("doc"))
+    texts = docs.select(*row_key(), "text").join(ids, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("k1", "k2", parts(F.col("text")).alias("doc"))
     width = F.least(F.lit(WINDOW), F.size("item"))
     equal = F.array_join(
         F.transform("item", lambda w, j: F.when(F.get("doc", F.col("shift") + j) == w, "1").otherwise("0")), ""
@@ -73,14 +85,14 @@ def contamination(docs: DataFrame, bench: DataFrame, stash: Stash) -> DataFrame:
     hit = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(F.col("shift") + i, F.col("shift") + i + width - 1))))
     checked = candidates.join(texts, ["k1", "k2"]).withColumn("equal", equal).select("k1", "k2", "item_id", hit.alias("hit")).where(F.size("hit") > 0)
     per_item = checked.groupBy("k1", "k2").agg(F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("n_hit"), F.sort_array(F.collect_set("item_id")).alias("ids"))
-    return stash.put("hits", per_item)
+    return stash.put("hits", per_item, small=True)
 
 
 def scored(docs: DataFrame, bench: DataFrame, stash: Stash) -> DataFrame:
     hits = contamination(docs, bench, stash)
-    sized = docs.select("doc_id", *row_key(), F.coalesce(F.regexp_count(lowered(F.col("text")), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    sized = docs.select("doc_id", *row_key(), word_count(F.col("text")).alias("n_words"))
     ids = F.coalesce("ids", F.array().cast("array<string>"))
-    found = sized.join(hits, ["k1", "k2"], "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
+    found = few(sized.join(bounded(hits, IDS_CAP), ["k1", "k2"], "left")).withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
     return found.select(
         "doc_id",
         "n_words",
@@ -96,7 +108,7 @@ def clean(docs: DataFrame, bench: DataFrame, stash: Stash) -> DataFrame:
     hits = contamination(docs, bench, stash)
     keyed = docs.withColumns(dict(zip(("__k1", "__k2"), row_key(), strict=True)))
     bad = hits.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
-    n_words = F.regexp_count(lowered(F.col("text")), F.lit(WORD))
+    n_words = word_count(F.col("text"))
     joined = keyed.join(bounded(bad, IDS_CAP), ["__k1", "__k2"], "left")
     return joined.where(F.col("n_hit").isNull() | (20 * F.col("n_hit") < n_words)).select(*docs.columns)
 

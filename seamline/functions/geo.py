@@ -168,3 +168,10 @@ def cells(x1: Column, y1: Column, x2: Column, y2: Column, size: float) -> Column
     """The grid cells a box touches, as an array of struct(cx, cy): the equality key of spatial joins."""
     span = lambda a, b: F.sequence(F.floor(a / size), F.floor(b / size))
     return F.flatten(F.transform(span(x1, x2), lambda cx: F.transform(span(y1, y2), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
+
+
+def decomposed(a11: Column, a12: Column, a21: Column, a22: Column) -> dict[str, Column]:
+    """Scales, turn and shear of a linear map; the cosine is clipped before its angle is taken."""
+    sx, sy = F.sqrt(a11 * a11 + a21 * a21), F.sqrt(a12 * a12 + a22 * a22)
+    cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(a11 * a12 + a21 * a22, sx * sy)))
+    return {"sx": sx, "sy": sy, "rotation": F.degrees(F.atan2(a21, a11)), "shear": F.degrees(F.acos(cosine)) - 90}

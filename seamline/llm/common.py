@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seamline.session import ship
+
 #: Bytes of a batch that is handed to Python. Batches are counted in rows and
 #: texts can be long, so the row count is small; Spark also cuts by bytes.
 ARROW_ROWS = 256
@@ -19,7 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def python_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers hold at once."""
+    """Bound the Arrow batches that Python workers hold at once, and see that they find this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
@@ -33,13 +36,22 @@ def shared_dir(spark: SparkSession) -> str:
     return str(found).rstrip("/")
 
 
+def few(df: DataFrame) -> DataFrame:
+    """``df``, far smaller than what it was made from, dealt to a sixteenth of the usual partitions: the work
+    before keeps all of its tasks, and there are few files and few tasks that write."""
+    return df.repartition(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
+
+
 class Stash:
     """Tables written to the shared folder: they cut lineage and outlive lost executors."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, {}
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
+    def put(self, name: str, df: DataFrame, small: bool = False) -> DataFrame:
+        """Write ``df`` and read it back. A ``small`` table, one far smaller than the input, gets a sixteenth of the files."""
+        if small:
+            df = few(df)
         path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         self.paths[name] = path

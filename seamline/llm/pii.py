@@ -23,7 +23,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seamline.llm.common import Stash, bounded, table
+from seamline.llm.common import Stash, bounded, few, table
 from seamline.llm.decontaminate import row_key
 
 KINDS = {
@@ -33,12 +33,12 @@ KINDS = {
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
 }
 #: A number of at most 255, leading zeros allowed.
-BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}+)"
+BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?+)?+"
 TERM = r"\p{L}{3,}+"
 #: Characters and words looked at on either side of an entity.
 REACH, AROUND = 100, 5
 SUPPORT, GENERALISE, REMOVE = 3, 0.75, 0.9
-TERMS_CAP, ROWS_CAP = 500_000, 1_000_000
+ROWS_CAP = 1_000_000
 SPAN = "array<struct<s:int,e:int,m:string>>"
 
 
@@ -111,6 +111,12 @@ def with_spans(docs: DataFrame) -> DataFrame:
     return out.drop(*found)
 
 
+def disclosure(total: Column) -> Column:
+    """PMI of term and entity over the entity's information, from document counts."""
+    ic = F.log(total / F.col("n_e"))
+    return F.when(ic > 0, F.log(total * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / ic)
+
+
 def revealing(docs: DataFrame, spanned: DataFrame, stash: Stash) -> DataFrame:
     """(k1, k2, start, end, word, level) of terms that disclose an entity of their document."""
     every = F.flatten(F.array(*(F.transform(f"__s_{kind}", partial(tagged, kind)) for kind in KINDS)))
@@ -121,22 +127,24 @@ def revealing(docs: DataFrame, spanned: DataFrame, stash: Stash) -> DataFrame:
     after = F.regexp_extract_all(F.substr("text", F.col("x.e") + 1, F.lit(REACH)), F.lit(TERM), F.lit(0))
     near = F.concat(F.slice(ahead, F.greatest(F.size(ahead) - AROUND + 1, F.lit(1)), F.lit(AROUND)), F.slice(after, 1, AROUND))
     near = F.array_distinct(F.transform(near, F.lower))
-    seen = stash.put("mentions", mentions.select("k1", "k2", value.alias("entity"), near.alias("near")))
+    seen = stash.put("mentions", mentions.select("k1", "k2", value.alias("entity"), near.alias("near")), small=True)
     entity = seen.groupBy("entity").agg(F.count_distinct("k1", "k2").alias("n_e"))
     around = seen.select("k1", "k2", "entity", F.xxhash64("near").alias("context"), F.explode("near").alias("term"))
     contexts = around.select("entity", "term", "context").distinct().groupBy("entity", "term").count().where(F.col("count") >= SUPPORT)
     pairs = around.select("k1", "k2", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-    likely = stash.put("likely", pairs.join(contexts, ["entity", "term"]).select("entity", "term", "n_te").join(entity, "entity"))
-    terms = bounded(likely.select("term").distinct(), TERMS_CAP)
-    said = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    frequency = said.join(terms, "term").groupBy("term").agg(F.count("*").alias("n_t"))
     total = F.lit(docs.count()).cast("double")
-    ic = F.log(total / F.col("n_e"))
-    disclosure = F.when(ic > 0, F.log(total * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / ic)
-    flagged = likely.join(frequency, "term").withColumn("disclosure", disclosure).where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
-    flagged = stash.put("flagged", flagged)
+    # A term is in at least as many documents as have it around some entity: enough to tell that it discloses nothing.
+    least = around.select("k1", "k2", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    likely = pairs.join(contexts, ["entity", "term"]).select("entity", "term", "n_te").join(entity, "entity").join(least, "term")
+    likely = stash.put("likely", likely.where(disclosure(total) >= GENERALISE).drop("n_t"), small=True)
+    said = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    # Counting all terms costs less than it seems, as they are summed before the shuffle; joined first, a frequent
+    # term that is said around a much copied entity would meet all its documents.
+    frequency = said.groupBy("term").agg(F.count("*").alias("n_t"))
+    flagged = likely.join(frequency, "term").withColumn("disclosure", disclosure(total)).where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
+    flagged = stash.put("flagged", flagged, small=True)
     told = seen.select("k1", "k2", "entity").distinct().join(flagged, "entity").groupBy("k1", "k2", "term").agg(F.max("disclosure").alias("disclosure"))
-    told = stash.put("told", told)
+    told = stash.put("told", told, small=True)
     texts = spanned.select("k1", "k2", "text", every.alias("every")).join(bounded(told.select("k1", "k2").distinct(), ROWS_CAP), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     word = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
     gaps = F.slice(F.split("text", TERM, -1), F.lit(1), F.size(word))
@@ -152,19 +160,19 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     stash = Stash(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spanned = with_spans(docs.select("doc_id", "text", *row_key()))
-    base = stash.put("base", spanned.drop("text"))
     held = sum((F.size(f"__s_{k}") for k in KINDS), F.lit(0)) > 0
     terms = revealing(docs, spanned.where(held), stash)
     extra = terms.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
     listed = [F.transform(f"__s_{k}", partial(written, k)) for k in KINDS]
     own = F.concat(*listed)
     more = F.transform(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int>>")), lambda x: F.concat_ws(":", F.lit("term"), x["start"].cast("string"), x["end"].cast("string")))
-    return base.join(extra, ["k1", "k2"], "left").select(
+    found = spanned.drop("text").join(bounded(stash.put("extra", extra, small=True), ROWS_CAP), ["k1", "k2"], "left").select(
         "doc_id",
         *(F.size(f"__s_{k}").cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(F.array_join(own, ","), 256).alias("base_sha256"),
         F.array_join(F.concat(own, more), ",").alias("spans"),
     )
+    return few(found)
 
 
 def sanitise(docs: DataFrame, stash: Stash) -> DataFrame:

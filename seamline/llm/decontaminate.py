@@ -106,11 +106,9 @@ def scored(docs: DataFrame, bench: DataFrame, stash: Stash) -> DataFrame:
 def clean(docs: DataFrame, bench: DataFrame, stash: Stash) -> DataFrame:
     """``docs`` without contaminated rows."""
     hits = contamination(docs, bench, stash)
-    keyed = docs.withColumns(dict(zip(("__k1", "__k2"), row_key(), strict=True)))
-    bad = hits.withColumnsRenamed({"k1": "__k1", "k2": "__k2"})
-    n_words = word_count(F.col("text"))
-    joined = keyed.join(bounded(bad, IDS_CAP), ["__k1", "__k2"], "left")
-    return joined.where(F.col("n_hit").isNull() | (20 * F.col("n_hit") < n_words)).select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), word_count(F.col("text")).alias("n_words"), *row_key())
+    joined = keyed.join(bounded(hits, IDS_CAP), ["k1", "k2"], "left")
+    return joined.where(F.col("n_hit").isNull() | (20 * F.col("n_hit") < F.col("n_words"))).select("row.*")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, stash: Stash, keep: list[str]) -> DataFrame:
-    """``keep`` columns of every document with size, source_size, target, taken, prefix and finish."""
+    """Every document as ``row``, a struct of ``keep``, with size, source_size, target, taken, prefix, finish and h."""
     keyed = docs.select(
         F.struct(*keep).alias("row"),
         F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), F.col("source"))).alias("key"),
@@ -80,7 +80,7 @@ def mix(docs: DataFrame, stash: Stash, keep: list[str]) -> DataFrame:
     quota = F.floor(F.col("target") + 0.5)
     served = [F.least(F.greatest(quota - (e * F.col("source_size") + F.col("prefix")), F.lit(0)), F.col("size")) for e in range(PASSES)]
     return placed.select(
-        "row.*",
+        "row",
         "size",
         "source_size",
         "target",
@@ -100,16 +100,17 @@ def mixture(docs: DataFrame, stash: Stash) -> DataFrame:
     placed = mix(docs, stash, names).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(PASSES - 1))))
     left = F.floor(F.col("target") + 0.5) - (F.col("copy") * F.col("source_size") + F.col("prefix"))
     words = F.least(left, F.col("size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, words.cast("int")), " ")
+    cut = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0)), 1, words.cast("int")), " ")
     finish = (F.col("copy") * F.col("source_size") + F.col("prefix") + F.col("size")) / F.col("target")
-    served = placed.where(words > 0).withColumn("finish", finish).withColumn("text", F.when(words < F.col("size"), cut).otherwise(F.col("text")))
-    return served.repartitionByRange("finish", "h").sortWithinPartitions("finish", "h").select(*names)
+    served = placed.where(words > 0).withColumn("finish", finish).withColumn("cut", F.when(words < F.col("size"), cut).otherwise(F.col("row.text")))
+    ordered = served.repartitionByRange("finish", "h").sortWithinPartitions("finish", "h")
+    return ordered.select(*(F.col("cut").alias(n) if n == "text" else F.col("row").getField(n).alias(n) for n in names))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mix(table(spark, sf_dir, "documents"), Stash(spark), ["doc_id"])
     ordered = found.repartitionByRange("finish", "h").sortWithinPartitions("finish", "h")
-    return ordered.select("doc_id", "size", "source_size", "target", "taken")
+    return ordered.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 OP3_SQL = r"""

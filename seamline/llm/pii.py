@@ -178,7 +178,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sanitise(docs: DataFrame, stash: Stash) -> DataFrame:
     """``docs`` with entities replaced by their kind, revealing terms generalised to [TERM] or removed."""
     names = docs.columns
-    spanned = with_spans(docs.withColumns(dict(zip(("k1", "k2"), row_key(), strict=True))))
+    spanned = with_spans(docs.select(F.struct(*names).alias("row"), "text", *row_key()))
     held = sum((F.size(f"__s_{k}") for k in KINDS), F.lit(0)) > 0
     terms = revealing(docs, spanned.where(held), stash)
     extra = terms.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end", F.when(F.col("level") == "removed", "").otherwise("[TERM]").alias("to"))).alias("terms"))
@@ -194,4 +194,5 @@ def sanitise(docs: DataFrame, stash: Stash) -> DataFrame:
 
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.aggregate(spans, begin, write, lambda s: F.concat(s["out"], F.substr("text", s["at"] + 1, F.length("text"))))
-    return joined.withColumn("text", F.when(F.size(spans) > 0, text).otherwise(F.col("text"))).select(*names)
+    told = F.when(F.size(spans) > 0, text).otherwise(F.col("text"))
+    return joined.select(*(told.alias(n) if n == "text" else F.col("row").getField(n).alias(n) for n in names))

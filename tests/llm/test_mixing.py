@@ -30,10 +30,11 @@ def check(spark, rows):
     taken = {}
     assert len(got) == len(rows)
     for r in got:
-        assert r["source_size"] == size[r["source"]]
-        assert abs(r["target"] - target[r["source"]]) < 1e-6
+        source = r["row"]["source"]
+        assert r["source_size"] == size[source]
+        assert abs(r["target"] - target[source]) < 1e-6
         assert 0 <= r["taken"] <= 3 * r["size"]
-        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+        taken[source] = taken.get(source, 0) + r["taken"]
     for s, t in target.items():
         assert abs(taken[s] - t) <= 1
     return docs, got
@@ -42,8 +43,8 @@ def check(spark, rows):
 def test_targets_and_takings(spark):
     rows = [(i, "w " * (i % 17 + 1), f"s{i % 5}") for i in range(200)] + [(500, "x " * 3, "tiny"), (501, None, "none"), (502, " \t ", None), (503, "a b", None)]
     docs, got = check(spark, rows)
-    again = {(r["doc_id"], r["taken"]) for r in mixing.mix(docs, Stash(spark), ["doc_id", "source"]).collect()}
-    assert again == {(r["doc_id"], r["taken"]) for r in got}
+    again = {(r["row"]["doc_id"], r["taken"]) for r in mixing.mix(docs, Stash(spark), ["doc_id", "source"]).collect()}
+    assert again == {(r["row"]["doc_id"], r["taken"]) for r in got}
 
 
 def test_one_source_holds_most(spark):
@@ -58,7 +59,7 @@ def test_repeated_rows_and_empty(spark):
 
 def test_mixture_serves_whole_texts_and_cuts_the_last(spark):
     rows = [(i, " ".join(hashlib.md5(f"{i}-{j}".encode()).hexdigest() for j in range(i % 9 + 1)), f"s{i % 3}", "x") for i in range(60)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string")
     out = mixing.mixture(docs, Stash(spark)).collect()
     _, target = by_hand([r[:3] for r in rows])
     words = {}

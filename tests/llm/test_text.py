@@ -56,7 +56,7 @@ def test_contamination_by_brute_force(spark):
     d = spark.createDataFrame([(*x, 0) for x in docs], "doc_id long, text string, word int")
     b = spark.createDataFrame([(*x, 0) for x in bench], "item_id long, text string, count int")
     assert sorted(map(tuple, decontaminate.scored(d, b, Stash(spark)).collect())) == contamination(docs, bench)
-    kept = {r["doc_id"] for r in decontaminate.clean(d, b, Stash(spark)).collect()}
+    kept = {r["doc_id"] for r in decontaminate.clean(d.withColumnRenamed("word", "n_hit"), b, Stash(spark)).collect()}
     assert kept == {x[0] for x in contamination(docs, bench) if not x[5]}
     assert decontaminate.scored(d.where("false"), b, Stash(spark)).count() == 0
     assert {r["n_hit"] for r in decontaminate.scored(d, b.where("false"), Stash(spark)).collect()} == {0}
@@ -130,10 +130,10 @@ def test_terms_that_reveal_an_entity(spark):
 
 def test_sanitised_rows(spark):
     rows = [(1, "x +1 (017) 555-7713, 10.0.0.1 é a@b.co", "s", 3), (2, None, None, None), (None, "", "s", 0), (1, "x +1 (017) 555-7713, 10.0.0.1 é a@b.co", "s", 3)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, k1 int").drop("k1").withColumn("n_chars", F.lit(1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, k1 int").withColumn("row", F.lit(1))
     got = sorted(map(tuple, pii.sanitise(docs, Stash(spark)).collect()), key=repr)
     clean = "x [PHONE], [IP] é [EMAIL]"
-    assert got == sorted([(1, clean, "s", 1), (2, None, None, 1), (None, "", "s", 1), (1, clean, "s", 1)], key=repr)
+    assert got == sorted([(1, clean, "s", 3, 1), (2, None, None, None, 1), (None, "", "s", 0, 1), (1, clean, "s", 3, 1)], key=repr)
     assert pii.sanitise(docs.where("false"), Stash(spark)).count() == 0
 
 

@@ -182,3 +182,15 @@ def test_common_words():
     assert passages.common(x, x) == 6
     assert passages.common(x, np.array([1, 9, 2, 3, 5, 6], np.uint32)) == 5
     assert passages.common(x, x[:0]) == 0
+    rng = random.Random(6)
+    for _ in range(60):
+        a, b = ([rng.randrange(6) for _ in range(rng.randint(0, 25))] for _ in range(2))
+        table = [[0] * (len(b) + 1)]
+        for v in a:
+            row = [0]
+            for j, w in enumerate(b):
+                row.append(table[-1][j] + 1 if v == w else max(row[-1], table[-1][j + 1]))
+            table.append(row)
+        got = passages.common(np.array(a, np.uint32), np.array(b, np.uint32))
+        straight = sum(v == w for v, w in zip(a, b, strict=False))
+        assert got == (straight if len(a) == len(b) and straight >= 0.8 * len(a) else table[-1][-1])

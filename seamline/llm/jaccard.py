@@ -245,11 +245,19 @@ def groups(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
 
         Common shingles outside of both prefixes lie behind the prefix that ends
         first, so a pair shares at most those counted and one of the two rests.
+        A hub sees only its own lists; a pair dropped there is counted again with
+        the rest, over all lists that are not long.
         """
         rest = F.greatest(*(F.ceil(F.col(n) * percent / 100 - 1e-9) - 1 for n in ("na", "nb")))
         least = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent) - 1e-9)
         return pairs.groupBy("a", "b", "na", "nb").count().where(F.col("count") + rest >= least).drop("count")
 
+    def ordered(a: str, b: str, na: str, nb: str) -> list:
+        """A pair with its smaller id first: lists give it in either order, and its shingles are counted over all of them."""
+        swap = F.col(a) > F.col(b)
+        sides = [(a, b), (b, a), (na, nb), (nb, na)]
+        return [F.when(swap, F.col(y)).otherwise(F.col(x)).cast("long").alias(n) for (x, y), n in zip(sides, ("a", "b", "na", "nb"), strict=True)]
+
     alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     linked = 100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))
     answers = found = labels = None
@@ -306,9 +314,10 @@ def groups(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
         .where(~F.arrays_overlap("hubs1", "hubs2"))
         .where((100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (reach >= least))
         .where(F.col("near1").isNull() | F.col("near2").isNull() | (F.col("near1") != F.col("near2")) | (room >= least))
-        .select(F.col("cid1").alias("a"), F.col("cid2").alias("b"), F.col("n1").cast("long").alias("na"), F.col("n2").cast("long").alias("nb"))
+        .select(*ordered("cid1", "cid2", "n1", "n2"))
     )
-    last = verified("rest", enough(rest).join(answers, ["a", "b"], "left_anti"))
+    told = answers.select(*ordered("a", "b", "na", "nb")).select("a", "b")
+    last = verified("rest", enough(rest).join(told, ["a", "b"], "left_anti"))
     joined = components(found.unionByName(last.where(linked).select("a", "b")).unionByName(dense), stash, "ccz")
     named = joined.join(classes, joined["node"] == classes["cid"]).select("cid", "component", "rep")
     least_of = named.groupBy("component").agg(F.min("rep").alias("component_id"))

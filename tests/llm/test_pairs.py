@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seamline.llm import components, jaccard, passages, vectors
 from seamline.llm.common import Stash
-from seamline.llm.shingles import run_hashes, shingle_set, word_hashes
+from seamline.llm.shingles import mix64, run_hashes, shingle_set, word_hashes
 
 
 def shingles(text, k):
@@ -72,6 +72,29 @@ def test_jaccard_by_brute_force(spark, light, monkeypatch):
     assert got == brute(rows, 4, 85)
 
 
+def test_jaccard_pairs_split_over_lists(spark):
+    """Near copies that share two prefix shingles alone and two with a document of a smaller class id."""
+    rng = random.Random(9)
+    own = lambda n: [f"u{rng.randrange(10**12)}" for _ in range(n)]
+    cid = lambda found: int(mix64(found + np.uint64(len(found))).sum(dtype=np.uint64).astype(np.int64))
+    rows = []
+    while len(rows) < 60:
+        x = own(23)
+        y = x[:-1] + own(1)
+        runs, one, two = run_hashes(word_hashes(" ".join(x)), 4), shingle_set(" ".join(x), 4), shingle_set(" ".join(y), 4)
+        if (one[:4] != two[:4]).any():
+            continue
+        at = [int(np.flatnonzero(runs == h)[0]) for h in one[:2]]
+        for _ in range(200):
+            z = " ".join(x[at[0] : at[0] + 4] + own(12) + x[at[1] : at[1] + 4])
+            third = shingle_set(z, 4)
+            if cid(third) < min(cid(one), cid(two)) and set(one[:2].tolist()) <= set(third[: len(third) - -(-len(third) * 85 // 100) + 1].tolist()):
+                rows += [(len(rows) + i, t) for i, t in enumerate((" ".join(x), " ".join(y), z))]
+                break
+    got = sorted(map(tuple, jaccard.groups(spark.createDataFrame(rows, "doc_id long, text string"), Stash(spark), 4, 85).collect()))
+    assert got == brute(rows, 4, 85)
+
+
 def test_jaccard_repeated_rows_and_empty(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(5, text), (5, text), (3, text), (None, "lone words here now"), (9, None)], "doc_id long, text string")

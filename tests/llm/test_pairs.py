@@ -179,6 +179,35 @@ def test_passages(spark):
     assert passages.repeated_passages(docs.where("false"), Stash(spark)).count() == 0
 
 
+def test_passages_parted_by_own_words(spark):
+    """Three repeats of 51 words in one chain that is not alike as a whole, with other or inserted words between."""
+    rng = random.Random(7)
+    own = lambda n: [f"u{rng.random():.12f}" for _ in range(n)]
+    one, two, three = own(51), own(51), own(51)
+    rows = [(1, one + own(22) + two + own(22) + three), (2, one + own(22) + two + own(22) + three), (3, own(9) + one + two + three)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = passages.repeated_passages(docs, Stash(spark)).collect()
+    covered = {(r["doc_id"], r["partner_id"], p) for r in got for p in range(r["start_word"], r["end_word"])}
+    for i, words in rows[:2]:
+        places = [p for p, w in enumerate(words) if w in {*one, *two, *three}]
+        assert all((i, j, p) in covered for j in (1, 2, 3) if j != i for p in places)
+    assert all(r["similarity"] >= 0.8 and r["end_word"] - r["start_word"] >= 50 for r in got)
+
+
+def test_parts_of_an_alignment():
+    rng = random.Random(8)
+    for _ in range(60):
+        a, b = ([rng.randrange(5) for _ in range(rng.randint(0, 25))] for _ in range(2))
+        x, y = np.array(a, np.uint32), np.array(b, np.uint32)
+        at = passages.matched(x, y)
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, v in enumerate(a):
+            for j, w in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if v == w else max(table[i][j + 1], table[i + 1][j])
+        assert len(at) == table[-1][-1]
+        assert all(a[i] == b[j] for i, j in at.tolist()) and (np.diff(at, axis=0) > 0).all()
+
+
 def test_chains_by_brute_force():
     """The best chain's score equals the best over all increasing subsequences."""
     rng = random.Random(2)

@@ -8,8 +8,8 @@ asked of a family is the highest any held-back unknown sentence reaches. A
 predicted family is then confirmed by comparing the sentence with the family's
 templates.
 
-Only sentences with a word of ``CUES`` can be licence statements, which a scan
-of the text decides before anything is split.
+Every sentence is scored; ``CUES`` only weigh the rows the model learns from
+and keep sentences that speak of licences out of the corpus sample.
 
 Defined cases: null and empty texts have no licences; equal rows get equal
 results; an empty table gives an empty result; other columns are ignored.
@@ -104,9 +104,9 @@ OTHERS = [
 
 
 def sentences(docs: DataFrame) -> DataFrame:
-    """``docs`` rows with each sentence that holds a cue."""
+    """``docs`` rows with each sentence."""
     parts = F.split(F.col("text"), r"\n+|(?<=[.!?;])\s+")
-    return docs.where(F.col("text").rlike(CUES)).withColumn("sentence", F.explode(parts)).where(F.col("sentence").rlike(CUES))
+    return docs.withColumn("sentence", F.explode(parts)).where(F.col("sentence") != "")
 
 
 def grams(tokens: Column) -> Column:
@@ -141,7 +141,7 @@ def train(docs: DataFrame, stash: Stash):
     ]
     prepared = Pipeline(stages=stages).fit(data)
     known = prepared.transform(data.where("NOT held"))
-    vectors = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=8192, binary=True).fit(known.where(F.col("sentence").rlike(CUES)))
+    vectors = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=8192, binary=True).fit(prepared.transform(given))
     model = LogisticRegression(maxIter=60, regParam=0.002, elasticNetParam=0.1, weightCol="weight", family="multinomial").fit(vectors.transform(known))
     held = model.transform(vectors.transform(prepared.transform(data.where("held"))))
     best = F.array_max(F.slice(vector_to_array("probability"), 1, len(names)))

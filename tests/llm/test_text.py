@@ -243,3 +243,13 @@ def test_licences(spark):
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, family string")
     got = {r["doc_id"]: r["families"] for r in licences.stash_found(docs.select("doc_id", "text"), Stash(spark)).collect()}
     assert got == {1: "apache", 2: "mit", 3: "gpl", 4: "cc-by-nc", 9: "apache,mit"}
+
+
+def test_licences_without_cue(spark):
+    """Each template is found as a document, and so are statements without a word of CUES."""
+    rows = [(i, t, f) for i, (f, t) in enumerate((f, t) for f, ts in licences.TEMPLATES.items() for t in ts)]
+    rows += [(100, "Distributed under Apache 2.0.", "apache"), (101, "Released under MIT.", "mit")]
+    rows += [(200 + i, f"plain sentence number {i} of the corpus. Another one {i}.", None) for i in range(50)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r["doc_id"]: r["families"] for r in licences.stash_found(docs, Stash(spark)).collect()}
+    assert got == {i: f for i, _, f in rows if f}

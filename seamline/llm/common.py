@@ -28,9 +28,11 @@ def python_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder all executors see: ``spark.checkpoint.dir``. Only a local master may leave it unset, as tests do."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="seamline-"))
         found = spark.sparkContext.getCheckpointDir()
     return str(found).rstrip("/")
@@ -43,7 +45,10 @@ def few(df: DataFrame) -> DataFrame:
 
 
 class Stash:
-    """Tables written to the shared folder: they cut lineage and outlive lost executors."""
+    """Tables written to the shared folder: they cut lineage and outlive lost executors.
+
+    What ``drop`` has not removed is removed when the application ends.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, {}
@@ -55,14 +60,19 @@ class Stash:
         path = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         self.paths[name] = path
+        self._files(path)[0].deleteOnExit(self._files(path)[1])
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Remove tables that nothing reads any more."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
-            path.getFileSystem(conf).delete(path, True)
+            files, path = self._files(self.paths.pop(name))
+            files.delete(path, True)
+            files.cancelDeleteOnExit(path)
+
+    def _files(self, path: str) -> tuple:
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(self.spark._jsc.hadoopConfiguration()), found
 
 
 def bounded(df: DataFrame, rows: int) -> DataFrame:

@@ -2,15 +2,19 @@
 
 Unit vectors are put into the list of their nearest coarse centroid; their
 residual is coded by one of 256 centroids in each of 8 subspaces. A query
-visits its ``PROBES`` nearest lists, looks its distances up in a table per
-subspace and reranks what may be near by the exact cosine in double precision.
-As a code's own error is stored, the triangle inequality tells which vectors
-the table may discard: only lists that are not visited can lose a link.
-
-Centroids are fitted on at most ``SAMPLE`` vectors; all vectors are indexed.
-Equal vectors of a label are one class with a count. A list is cut into blocks
-of at most about ``BLOCK`` vectors and so are its queries, so one hot list is
-spread over tasks; a block returns counts and a spanning forest, never pairs.
+visits its ``PROBES`` nearest lists and adds up its distances to their codes
+from a table per subspace. Only what the table leaves is reranked, by the exact
+cosine in double precision. As a code's own error is stored, the triangle
+inequality tells which vectors the table may discard: only lists that are not
+visited can lose a link.
+
+Beyond ``LISTS`` lists there is a second level of centroids, of the residuals,
+and a list is a pair of them, so that lists grow in number with the vectors and
+not in length. Centroids are fitted on at most ``SAMPLE`` vectors; all vectors
+are indexed. Equal vectors of a label are one class with a count. A list is cut
+into blocks of at most about ``BLOCK`` vectors and so are its queries, so one
+hot list is spread over tasks; a block returns counts and a spanning forest,
+never pairs.
 
 Defined cases: null labels, null, empty or zero vectors and vectors with null
 or non-finite components link with nothing; vectors of different lengths do
@@ -55,19 +59,43 @@ def nearest(x: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
 
 
 def fit(vectors: np.ndarray, lists: int) -> dict:
-    """Coarse centroids and the codebooks of the residuals' subspaces."""
+    """Coarse centroids of one or two levels and the codebooks of the residuals' subspaces."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    coarse = kmeans(unit, lists, 1)
+    coarse = kmeans(unit, min(lists, LISTS), 1)
     rest = unit - coarse[nearest(unit, coarse, 1)[:, 0]]
+    fine = kmeans(rest, min(-(-lists // LISTS), LISTS), 1) if lists > LISTS else np.zeros((1, unit.shape[1]))
+    rest = rest - fine[nearest(rest, fine, 1)[:, 0]]
     cuts = np.array_split(np.arange(unit.shape[1]), min(SUBSPACES, unit.shape[1]))
-    return {"dim": unit.shape[1], "coarse": coarse, "cuts": cuts, "books": [kmeans(rest[:, c], CODES, 2 + i) for i, c in enumerate(cuts)]}
+    return {"dim": unit.shape[1], "coarse": coarse, "fine": fine, "cuts": cuts, "books": [kmeans(rest[:, c], CODES, 2 + i) for i, c in enumerate(cuts)]}
+
+
+def centre(model: dict, lists) -> np.ndarray:
+    """The centres of lists, numbered coarse by fine centroid."""
+    lists = np.asarray(lists)
+    return model["coarse"][lists // len(model["fine"])] + model["fine"][lists % len(model["fine"])]
+
+
+def visited(model: dict, unit: np.ndarray) -> np.ndarray:
+    """The ``PROBES`` nearest lists of each vector, nearest first."""
+    first = nearest(unit, model["coarse"], PROBES)
+    if len(model["fine"]) == 1:
+        return first
+    rows = np.arange(len(unit))[:, None]
+    lists, far = [], []
+    for turn in range(first.shape[1]):
+        second = nearest(unit - model["coarse"][first[:, turn]], model["fine"], PROBES)
+        number = first[:, [turn]] * len(model["fine"]) + second
+        lists.append(number)
+        far.append(((unit[:, None, :] - centre(model, number)) ** 2).sum(2))
+    every = np.concatenate(lists, 1)
+    return every[rows, np.argsort(np.concatenate(far, 1), axis=1, kind="stable")[:, :PROBES]]
 
 
 def encode(model: dict, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lists by nearness, codes in the nearest list and the errors of the codes."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    lists = nearest(unit, model["coarse"], PROBES)
-    rest = unit - model["coarse"][lists[:, 0]]
+    lists = visited(model, unit)
+    rest = unit - centre(model, lists[:, 0])
     codes = np.stack([nearest(rest[:, c], b, 1)[:, 0] for c, b in zip(model["cuts"], model["books"], strict=True)], 1).astype(np.uint8)
     error = np.zeros(len(unit))
     for i, (c, b) in enumerate(zip(model["cuts"], model["books"], strict=True)):
@@ -91,13 +119,33 @@ def _coder(model):
                     probes[r], codes[r] = lists[i].tolist(), code[i].tobytes()
             out = pdf[["cid", "label", "m"]].copy()
             out["dim"], out["probes"], out["code"], out["err"] = dims, probes, codes, errors
-            out["vec"] = [np.asarray(v, np.float64).tobytes() for v in pdf["embedding"]]
+            out["vec"] = [np.asarray(v).tobytes() for v in pdf["embedding"]]  # as precise as the column
             yield out[schema]
 
     return run
 
 
-def _compare(model, cosine: float):
+def survivors(model: dict, here: int, query: np.ndarray, codes: np.ndarray, errors: np.ndarray, reach: float) -> np.ndarray:
+    """Which codes of a list the asymmetric table leaves to each query: those that may lie within ``reach``."""
+    rest = query - centre(model, here)
+    far = np.zeros((len(query), len(codes)))
+    for i, (c, book) in enumerate(zip(model["cuts"], model["books"], strict=True)):
+        table_ = ((rest[:, c] ** 2).sum(1)[:, None] + (book**2).sum(1)[None, :]) - 2 * rest[:, c] @ book.T
+        far += table_[:, codes[:, i]]
+    return np.sqrt(np.maximum(far, 0)) <= reach + errors[None, :] + 1e-9
+
+
+def rerank(query: np.ndarray, base: np.ndarray, left: np.ndarray, cosine: float) -> np.ndarray:
+    """The pairs of ``left`` whose exact cosine is at least ``cosine``; no other pair is multiplied."""
+    links = np.zeros(left.shape, bool)
+    at, to = np.nonzero(left)
+    for start in range(0, len(at), 1 << 14):
+        i, j = at[start : start + (1 << 14)], to[start : start + (1 << 14)]
+        links[i, j] = np.einsum("ij,ij->i", query[i], base[j]) >= cosine
+    return links
+
+
+def _compare(model, cosine: float, kind: str):
     reach = np.sqrt(2 - 2 * cosine)
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -106,7 +154,7 @@ def _compare(model, cosine: float):
         if not len(base) or not len(query):
             return empty
         here = int(key[2])
-        read = lambda part: np.stack([np.frombuffer(v, np.float64) for v in part["vec"]])
+        read = lambda part: np.stack([np.frombuffer(v, kind) for v in part["vec"]]).astype(np.float64)
         b, q = read(base), read(query)
         b, q = b / np.linalg.norm(b, axis=1, keepdims=True), q / np.linalg.norm(q, axis=1, keepdims=True)
         b_id, q_id = base["cid"].to_numpy(), query["cid"].to_numpy()
@@ -119,14 +167,8 @@ def _compare(model, cosine: float):
             # A pair whose two vectors visit each other's lists counts in one of them.
             mine = np.stack([np.where(twice[h], here < h, True) if h != here else q_id[i] < b_id for i, h in zip(range(start, len(q)), q_home[part], strict=False)])
             if here >= 0:
-                rest = q[part] - model.value["coarse"][here]
-                far = np.zeros(mine.shape)
-                for i, (c, book) in enumerate(zip(model.value["cuts"], model.value["books"], strict=True)):
-                    tab = ((rest[:, c] ** 2).sum(1)[:, None] + (book**2).sum(1)[None, :]) - 2 * rest[:, c] @ book.T
-                    far += tab[:, codes[:, i]]
-                mine &= np.sqrt(np.maximum(far, 0)) <= reach + base["err"].to_numpy()[None, :] + 1e-9
-            if mine.any():
-                links[part] = mine & (q[part] @ b.T >= cosine)
+                mine &= survivors(model.value, here, q[part], codes, base["err"].to_numpy(), reach)
+            links[part] = rerank(q[part], b, mine, cosine)
         if not links.any():
             return empty
         low, high = link_labels(links)
@@ -154,14 +196,15 @@ def near_vectors(vectors: DataFrame, stash: Stash, cosine: float = 0.93) -> Data
     model = None
     if dims:
         sample = classes.where(F.size("embedding") == dims["dim"]).orderBy(F.xxhash64("cid")).limit(SAMPLE).select("embedding").toPandas()
-        model = fit(np.stack(sample["embedding"]).astype(np.float64), min(LISTS, max(1, stats // PER_LIST)))
+        model = fit(np.stack(sample["embedding"]).astype(np.float64), max(1, stats // PER_LIST))
     shared = spark.sparkContext.broadcast(model)
     coded = stash.put(
         "coded",
         classes.select("cid", "label", "m", "embedding").mapInPandas(
-            _coder(shared), "cid long, label int, m long, dim int, probes array<int>, code binary, err double, vec binary"
+            _coder(shared), f"cid long, label {classes.schema['label'].dataType.simpleString()}, m long, dim int, probes array<int>, code binary, err double, vec binary"
         ),
     )
+    kind = {"float": "f4", "double": "f8"}[classes.schema["embedding"].dataType.elementType.simpleString()]
     cell = ["label", "dim", "list"]
     home = coded.withColumn("list", F.col("probes")[0])
     visits = coded.withColumn("list", F.explode("probes"))
@@ -173,7 +216,7 @@ def near_vectors(vectors: DataFrame, stash: Stash, cosine: float = 0.93) -> Data
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     bases = home.join(sizes, cell).select(*cell, part("nb").alias("bb"), every("nq").alias("qb"), F.lit(0).alias("side"), *columns)
     asks = visits.join(sizes, cell).select(*cell, every("nb").alias("bb"), part("nq").alias("qb"), F.lit(1).alias("side"), *columns)
-    met = bases.unionByName(asks).groupBy(*cell, "bb", "qb").applyInPandas(_compare(shared, cosine), "cid long, other long, links long")
+    met = bases.unionByName(asks).groupBy(*cell, "bb", "qb").applyInPandas(_compare(shared, cosine, kind), "cid long, other long, links long")
     found = stash.put("links", met)
     degree = found.groupBy("cid").agg(F.sum("links").alias("others"))
     joined = components(found.select(F.col("cid").alias("a"), F.col("other").alias("b")), stash, "vcc")

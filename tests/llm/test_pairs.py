@@ -157,6 +157,48 @@ def test_vectors_by_brute_force(spark, block, monkeypatch):
         assert r["kept"] == (r["component_id"] == i) and r["component_id"] <= i
 
 
+@pytest.mark.parametrize("lists", [1024, 16])
+def test_vectors_recall_with_more_lists_than_probes(spark, lists, monkeypatch):
+    """Near copies among 3,000 vectors in some 60 lists a label, of one and of two levels; rows that repeat a vec_id."""
+    monkeypatch.setattr(vectors, "PER_LIST", 24)
+    monkeypatch.setattr(vectors, "LISTS", lists)
+    rng = np.random.default_rng(lists)
+    rows = []
+    for base in rng.normal(size=(1000, 24)):
+        for _ in range(3):
+            rows.append((len(rows), [float(x) for x in base + rng.normal(size=24) * rng.choice([0.05, 0.2, 0.3])], ["a", "b"][len(rows) % 6 == 0]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: r for r in vectors.near_vectors(df, Stash(spark)).collect()}
+    unit = np.array([r[1] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    near = (unit @ unit.T >= 0.93) & (label[:, None] == label[None, :]) & ~np.eye(len(rows), dtype=bool)
+    assert near.sum() > 2000
+    assert sum(r["n_links"] for r in got.values()) >= 0.9 * near.sum()
+    assert all(got[i]["n_links"] <= n for i, n in enumerate(near.sum(1)))
+    again = vectors.near_vectors(df.unionByName(df.limit(1)), Stash(spark)).where("vec_id = 0").collect()
+    assert len(again) == 2 and again[0]["n_links"] == got[0]["n_links"] + 1
+
+
+def test_the_table_discards_and_loses_nothing():
+    """Codes leave few pairs to the rerank and all those that link; without the table every pair would be multiplied."""
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(200, 32)), 3, axis=0) + rng.normal(size=(600, 32)) * 0.1
+    model = vectors.fit(x, 4)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    lists, codes, errors = vectors.encode(model, x)
+    exact = unit @ unit.T >= 0.93
+    kept = 0
+    for here in range(4):
+        home = np.flatnonzero(lists[:, 0] == here)
+        left = vectors.survivors(model, here, unit, codes[home], errors[home], np.sqrt(2 - 2 * 0.93))
+        kept += left.sum()
+        links = vectors.rerank(unit, unit[home], left, 0.93)
+        assert (links == exact[:, home]).all()
+        assert not vectors.rerank(unit, unit[home], np.zeros_like(left), 0.93).any()
+    assert exact.sum() <= kept < 0.1 * len(x) ** 2
+
+
 def test_vectors_empty(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"), Stash(spark)).count() == 0
     same = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [1.0, 0.0], None)], "vec_id long, embedding array<float>, label int")

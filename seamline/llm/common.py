@@ -14,10 +14,16 @@ from seamline.session import ship
 #: texts can be long, so the row count is small; Spark also cuts by bytes.
 ARROW_ROWS = 256
 ARROW_BYTES = 8 << 20
+#: Bytes a core below which a table is small.
+SMALL = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the corpus. A small one, which may be a single row group, is dealt out evenly."""
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    small = found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < cores * SMALL
+    return found.repartition(cores) if small else found
 
 
 def python_batches(spark: SparkSession) -> None:

@@ -1,10 +1,17 @@
 """Benchmark decontamination by a prefix-filtered join, in DataFrame functions only.
 
-An item's windows are 13 consecutive words (all its words if it has fewer). For
-containment of a whole window the necessary prefix, in order of rarity, is one
-word: the window's rarest word in the corpus. Documents are joined on these
-words alone; an occurrence fixes the offset between document and item, and the
-words along that offset are then compared exactly.
+An item's windows are 13 consecutive words (all its words if it has fewer); a
+window is a set of shingles of ``K`` words and their places in it. Shingles are
+ordered by rarity in the corpus. For containment of a whole window the
+necessary prefix of that order is one shingle, the rarest: documents are joined
+on these alone. An occurrence fixes where the window would lie; it must lie
+inside the document (length and position) and is then verified exactly, by the
+shingles that cover the window's words at their places.
+
+The corpus is read once: the occurrences of the benchmark's shingles in it give
+the counts of rarity, the prefix join and the verification. Shingles are
+compared as texts, so nothing rests on hashes. Items of fewer than ``K`` words
+are one shingle of their own length.
 
 Defined cases: null text has no words; an item without words has no window;
 equal rows get equal results; null item ids count as hits but not as items;
@@ -15,16 +22,16 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seamline.llm.common import Stash, bounded, few, table
 
 #: What parts words, once A-Z are lower-cased. Splitting at it is several times faster than matching the words.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WINDOW = 13
-#: Rows of the benchmark's vocabulary, its anchors and candidate ids up to which they are broadcast.
-WORDS_CAP, IDS_CAP = 500_000, 1_000_000
+WINDOW, K = 13, 5
+#: Rows of the benchmark's shingles, and of contaminated documents, up to which they are broadcast.
+SHINGLES_CAP, IDS_CAP = 500_000, 1_000_000
 
 
 def lowered(text: Column) -> Column:
@@ -53,39 +60,82 @@ def row_key() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k1"), F.xxhash64("text").alias("k2")]
 
 
-def anchors(bench: DataFrame, docs: DataFrame, stash: Stash) -> DataFrame:
-    """(word, item, item_id, place): the rarest word of every window, once per place in its item."""
+def shingled(words_: str, size: int) -> Column:
+    """The runs of ``size`` words of an array column, joined by blanks, in order."""
+    last = F.size(words_) - size
+    run = lambda i: F.concat_ws(" ", *(F.get(words_, i + j) for j in range(size)))
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), run)).otherwise(F.array().cast("array<string>"))
+
+
+def windows(bench: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
+    """(window, size, k, place, shingle) of every shingle, of k words, of every distinct window, and (window, item_id) of their items.
+
+    A window is named by its text.
+    """
     items = bench.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("item")).where(F.size("item") > 0).distinct()
-    vocabulary = stash.put("vocabulary", items.select(F.explode("item").alias("word")).distinct(), small=True)
-    said = docs.select(F.explode(parts(F.col("text"))).alias("word"))
-    counts = stash.put("counts", said.join(bounded(vocabulary, WORDS_CAP), "word").groupBy("word").count(), small=True)
-    placed = items.select("item_id", "item", F.posexplode("item").alias("place", "word")).join(counts, "word", "left")
-    ranked = placed.groupBy("item_id", "item").agg(
-        F.array_sort(F.collect_list(F.struct("place", F.coalesce("count", F.lit(0)).alias("count"), "word"))).alias("ranked")
-    )
-    width = F.least(F.lit(WINDOW), F.size("item"))
-    order = F.transform("ranked", lambda x: F.struct(x["count"], x["word"], x["place"]))
-    rarest = F.transform(F.sequence(F.lit(1), F.size("item") - width + 1), lambda i: F.array_min(F.slice(order, i, width)))
-    return stash.put("anchors", ranked.select("item_id", "item", F.explode(F.array_distinct(rarest)).alias("best")).where("best.count > 0").select("item_id", "item", F.col("best.word").alias("word"), F.col("best.place").alias("place")), small=True)
+    size = F.least(F.lit(WINDOW), F.size("item"))
+    run = F.transform(F.sequence(F.lit(0), F.size("item") - size), lambda i: F.array_join(F.slice("item", i + 1, size), " "))
+    held = stash.put("item-windows", items.select("item_id", size.alias("size"), F.explode(run).alias("window")).distinct(), small=True)
+    split = held.select("window", "size").distinct().withColumn("w", F.split("window", " "))
+    k = F.least(F.lit(K), F.col("size"))
+    runs = F.transform(F.sequence(F.lit(0), F.col("size") - k), lambda i: F.array_join(F.slice("w", i + 1, k), " "))
+    shingles = split.select("window", "size", k.alias("k"), F.posexplode(runs).alias("place", "shingle"))
+    return stash.put("window-shingles", shingles, small=True), held.select("window", "item_id")
+
+
+def prefixes(shingles: DataFrame, seen: DataFrame) -> DataFrame:
+    """(window, size, place, shingle): each window's rarest shingle; windows with a shingle that never occurs are left out."""
+    ranked = shingles.join(seen.groupBy("shingle").agg(F.count("*").alias("n")), "shingle", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    first = ranked.groupBy("window", "size").agg(F.min(F.struct("n", "shingle", "place")).alias("first")).where("first.n > 0")
+    return first.select("window", "size", F.col("first.place").alias("place"), F.col("first.shingle").alias("shingle"))
+
+
+def occurrences(docs: DataFrame, shingles: DataFrame, stash: Stash) -> DataFrame:
+    """(k1, k2, at, length, shingle) wherever a shingle of the benchmark occurs in a document of ``length`` words."""
+    wanted = shingles.select("k", "shingle").distinct()
+    sizes = sorted(r["k"] for r in shingles.select("k").distinct().collect())  # at most K of them
+    split = docs.select(*row_key(), parts(F.col("text")).alias("w"))
+    rows = None
+    for k in sizes:
+        of_k = bounded(wanted.where(F.col("k") == k).select("shingle"), SHINGLES_CAP)
+        found = split.select("k1", "k2", F.size("w").alias("length"), F.posexplode(shingled("w", k)).alias("at", "shingle")).join(of_k, "shingle")
+        rows = found if rows is None else rows.unionByName(found)
+    if rows is None:
+        rows = split.select("k1", "k2", F.size("w").alias("length"), F.lit(0).alias("at"), F.lit("").alias("shingle")).where("false")
+    return stash.put("seen", rows.select("k1", "k2", "at", "length", "shingle").distinct(), small=True)
+
+
+def candidates(seen: DataFrame, first: DataFrame) -> DataFrame:
+    """(k1, k2, start, window, size): where a window's rarest shingle occurs and the window lies inside the document."""
+    met = seen.join(first, "shingle").withColumn("start", F.col("at") - F.col("place"))
+    inside = (F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("length"))
+    return met.where(inside).select("k1", "k2", "start", "window", "size")
+
+
+def verified(found: DataFrame, shingles: DataFrame, seen: DataFrame) -> DataFrame:
+    """The candidates whose words are those of the window: shingles side by side, and the last one, all occur in place."""
+    last = F.col("size") - F.least(F.lit(K), F.col("size"))
+    cover = shingles.where((F.col("place") % K == 0) | (F.col("place") == last))
+    cover = cover.groupBy("window").agg(F.collect_list(F.struct("place", "shingle")).alias("cover"))
+    asked = found.join(cover, "window").withColumn("need", F.size("cover"))
+    asked = asked.withColumn("c", F.explode("cover")).select("k1", "k2", "start", "window", "size", "need", (F.col("start") + F.col("c.place")).alias("at"), F.col("c.shingle").alias("shingle"))
+    met = asked.join(seen.drop("length"), ["k1", "k2", "at", "shingle"])
+    return met.groupBy("k1", "k2", "start", "window", "size").agg(F.count("*").alias("n"), F.first("need").alias("need")).where("n = need").drop("n", "need")
 
 
 def contamination(docs: DataFrame, bench: DataFrame, stash: Stash) -> DataFrame:
     """(k1, k2, n_hit, ids) of rows with an occurring window."""
-    keys = anchors(bench, docs, stash)
-    said = docs.select(*row_key(), F.posexplode(parts(F.col("text"))).alias("at", "word"))
-    met = said.join(bounded(keys, WORDS_CAP), "word").select("k1", "k2", "item_id", "item", (F.col("at") - F.col("place")).alias("shift"))
-    candidates = stash.put("candidates", met.distinct(), small=True)
-    ids = bounded(candidates.select("k1", "k2").distinct(), IDS_CAP)
-    texts = docs.select(*row_key(), "text").join(ids, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("k1", "k2", parts(F.col("text")).alias("doc"))
-    width = F.least(F.lit(WINDOW), F.size("item"))
-    equal = F.array_join(
-        F.transform("item", lambda w, j: F.when(F.get("doc", F.col("shift") + j) == w, "1").otherwise("0")), ""
-    )
-    starts = F.filter(F.sequence(F.lit(0), F.size("item") - width), lambda i: F.substr("equal", i + 1, width) == F.repeat(F.lit("1"), width))
-    hit = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(F.col("shift") + i, F.col("shift") + i + width - 1))))
-    checked = candidates.join(texts, ["k1", "k2"]).withColumn("equal", equal).select("k1", "k2", "item_id", hit.alias("hit")).where(F.size("hit") > 0)
-    per_item = checked.groupBy("k1", "k2").agg(F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("n_hit"), F.sort_array(F.collect_set("item_id")).alias("ids"))
-    return stash.put("hits", per_item, small=True)
+    shingles, items = windows(bench, stash)
+    seen = occurrences(docs, shingles, stash)
+    exact = stash.put("exact", verified(candidates(seen, prefixes(shingles, seen)), shingles, seen), small=True)
+    # The words in any occurrence: each adds what lies behind the end of those before it.
+    order = Window.partitionBy("k1", "k2").orderBy("start", "end")
+    spans = exact.select("k1", "k2", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
+    spans = spans.withColumn("before", F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    hit = spans.groupBy("k1", "k2").agg(F.sum(F.greatest(F.col("end") - F.greatest("start", "before"), F.lit(0))).cast("long").alias("n_hit"))
+    of_item = exact.select("k1", "k2", "window").distinct().join(items, "window").select("k1", "k2", "item_id").distinct()
+    ids = of_item.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
+    return stash.put("hits", hit.join(ids, ["k1", "k2"]), small=True)
 
 
 def scored(docs: DataFrame, bench: DataFrame, stash: Stash) -> DataFrame:

@@ -62,6 +62,47 @@ def test_contamination_by_brute_force(spark):
     assert {r["n_hit"] for r in decontaminate.scored(d, b.where("false"), Stash(spark)).collect()} == {0}
 
 
+def test_rarest_shingle_and_bounds_decide(spark):
+    """The prefix is the rarest shingle, and a window that would stick out of a document is never a candidate."""
+    run = [f"w{i}" for i in range(13)]
+    common = " ".join(run[:6])
+    docs = [(i, f"x{i} {common}") for i in range(9)] + [(50, " ".join(["lead", *run, "end"])), (51, " ".join(run[8:]) + " tail"), (52, " ".join(run[6:12]))]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(1, " ".join(run))], "item_id long, text string")
+    shingles, _ = decontaminate.windows(b, Stash(spark))
+    seen = decontaminate.occurrences(d, shingles, Stash(spark))
+    first = decontaminate.prefixes(shingles, seen)
+    (row,) = first.collect()
+    assert row["place"] >= 2  # the shingles at 0 and 1 are in ten documents
+    met = decontaminate.candidates(seen, first).collect()
+    assert [(r["k1"], r["start"]) for r in met] == [("50", 1)]
+    without = seen.join(shingles.select("window", "size", "place", "shingle"), "shingle")
+    assert without.count() > 25  # what all shingles would have joined
+    assert decontaminate.verified(decontaminate.candidates(seen, first), shingles, seen).count() == 1
+
+
+def test_long_items_and_ties(spark):
+    """An item of 3,000 words, windows that repeat in it, items that share windows, and a document that holds them all."""
+    words = [f"w{i * i % 997}" for i in range(3000)]
+    bench = [(1, " ".join(words)), (2, " ".join(words[500:600])), (3, " ".join(words)), (None, " ".join(words[:20])), (4, "a a a a a a a a a a a a a a a")]
+    docs = [(1, " ".join(words[700:900])), (2, "q " + " ".join(words[505:540]) + " z" * 900), (3, "a " * 14), (3, "a " * 14), (4, " ".join(words[:13]))]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.scored(d, b, Stash(spark)).collect()))
+    items = [(i, re.findall(WORD13, lower(t))) for i, t in bench]
+    where = {}
+    for i, item in items:
+        for at in range(len(item) - 12):
+            where.setdefault(tuple(item[at : at + 13]), set()).add(i)
+    want = []
+    for doc, text in docs:
+        found = re.findall(WORD13, text)
+        hits = [(p, where[tuple(found[p : p + 13])]) for p in range(len(found) - 12) if tuple(found[p : p + 13]) in where]
+        hit = {q for p, _ in hits for q in range(p, p + 13)}
+        ids = sorted({str(i) for _, s in hits for i in s if i is not None})
+        want.append((doc, len(found), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(found)))
+    assert got == sorted(want)
+
+
 def test_contamination_keeps_repeated_and_nameless_rows(spark):
     d = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c d"), (None, "a b")], "doc_id long, text string")
     b = spark.createDataFrame([(1, "a b")], "item_id long, text string")

@@ -4,10 +4,13 @@ E-mail addresses, IP addresses, card and phone numbers are found by pattern and
 check sums. Each value found is a protected entity. The corpus then tells which
 words reveal it: for a term t in the words around an entity e the disclosure is
 PMI(t; e) / IC(e), with document frequencies over the whole corpus, 1 where t
-is said only around e. A term seen around e in at least ``SUPPORT`` different
-contexts whose disclosure reaches ``GENERALISE`` is generalised, from
-``REMOVE`` on removed, in the documents that hold e. Copies of a passage are
-one context, so that repetition alone discloses nothing.
+is said only around e. Words around are the ``AROUND`` whole words next to it
+on either side, within ``REACH`` characters. A term seen around e in at least
+``SUPPORT`` documents whose disclosure reaches ``GENERALISE`` is generalised to
+its kind of word, from ``REMOVE`` on removed, in the documents that hold e.
+Copies count: whoever holds a copy that was not sanitised finds the others by
+the rare words around the entity. One document alone is no evidence, as most
+words are rare in it.
 
 The patterns are possessive and start at the beginning of a run, which finds
 the same spans as their plain forms but in linear time and constant stack.
@@ -36,8 +39,8 @@ KINDS = {
 BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?+)?+"
 TERM = r"\p{L}{3,}+"
 #: Characters and words looked at on either side of an entity.
-REACH, AROUND = 100, 5
-SUPPORT, GENERALISE, REMOVE = 3, 0.75, 0.9
+REACH, AROUND = 200, 5
+SUPPORT, GENERALISE, REMOVE = 2, 0.75, 0.9
 ROWS_CAP = 1_000_000
 SPAN = "array<struct<s:int,e:int,m:string>>"
 
@@ -123,19 +126,21 @@ def revealing(docs: DataFrame, spanned: DataFrame, stash: Stash) -> DataFrame:
     mentions = spanned.select("k1", "k2", "text", F.explode(every).alias("x"))
     value = F.concat(F.col("x.kind"), F.lit(":"), F.when(F.col("x.kind") == "email", F.lower("x.m")).when(F.col("x.kind") == "ip", F.col("x.m")).otherwise(digits(F.col("x.m"))))
     begin = F.greatest(F.col("x.s") - REACH, F.lit(0))
-    ahead = F.regexp_extract_all(F.substr("text", begin + 1, F.col("x.s") - begin), F.lit(TERM), F.lit(0))
-    after = F.regexp_extract_all(F.substr("text", F.col("x.e") + 1, F.lit(REACH)), F.lit(TERM), F.lit(0))
+    # A word that the reach cuts is left out, on either side.
+    ahead = F.regexp_replace(F.substr("text", begin + 1, F.col("x.s") - begin), F.when(begin > 0, r"^\p{L}++").otherwise("^$"), F.lit(" "))
+    after = F.substr("text", F.col("x.e") + 1, F.lit(REACH))
+    after = F.regexp_replace(after, F.when(F.length("text") > F.col("x.e") + REACH, r"(?<!\p{L})\p{L}++$").otherwise("^$"), F.lit(" "))
+    ahead, after = (F.regexp_extract_all(x, F.lit(TERM), F.lit(0)) for x in (ahead, after))
     near = F.concat(F.slice(ahead, F.greatest(F.size(ahead) - AROUND + 1, F.lit(1)), F.lit(AROUND)), F.slice(after, 1, AROUND))
     near = F.array_distinct(F.transform(near, F.lower))
     seen = stash.put("mentions", mentions.select("k1", "k2", value.alias("entity"), near.alias("near")), small=True)
     entity = seen.groupBy("entity").agg(F.count_distinct("k1", "k2").alias("n_e"))
-    around = seen.select("k1", "k2", "entity", F.xxhash64("near").alias("context"), F.explode("near").alias("term"))
-    contexts = around.select("entity", "term", "context").distinct().groupBy("entity", "term").count().where(F.col("count") >= SUPPORT)
-    pairs = around.select("k1", "k2", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
+    around = seen.select("k1", "k2", "entity", F.explode("near").alias("term")).distinct()
+    pairs = around.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
     total = F.lit(docs.count()).cast("double")
     # A term is in at least as many documents as have it around some entity: enough to tell that it discloses nothing.
     least = around.select("k1", "k2", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    likely = pairs.join(contexts, ["entity", "term"]).select("entity", "term", "n_te").join(entity, "entity").join(least, "term")
+    likely = pairs.join(entity, "entity").join(least, "term")
     likely = stash.put("likely", likely.where(disclosure(total) >= GENERALISE).drop("n_t"), small=True)
     said = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     # Counting all terms costs less than it seems, as they are summed before the shuffle; joined first, a frequent
@@ -153,7 +158,9 @@ def revealing(docs: DataFrame, spanned: DataFrame, stash: Stash) -> DataFrame:
     placed = spread.withColumn("end", F.sum(F.length("x.gap") + F.length("x.word")).over(run).cast("int")).withColumn("start", F.col("end") - F.length("x.word"))
     clear = ~F.exists("every", lambda s: (s["s"] < F.col("end")) & (s["e"] > F.col("start")))
     named = placed.where(clear).withColumn("term", F.lower("x.word"))
-    return named.join(told, ["k1", "k2", "term"]).select("k1", "k2", "start", "end", F.when(F.col("disclosure") >= REMOVE, "removed").otherwise("generalised").alias("level"))
+    level = F.when(F.col("disclosure") >= REMOVE, "removed").otherwise("generalised")
+    kind = F.when(F.substring("x.word", 1, 1) != F.substring("term", 1, 1), "[NAME]").otherwise("[WORD]")
+    return named.join(told, ["k1", "k2", "term"]).select("k1", "k2", "start", "end", level.alias("level"), F.when(level == "removed", "").otherwise(kind).alias("to"))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,10 +169,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spanned = with_spans(docs.select("doc_id", "text", *row_key()))
     held = sum((F.size(f"__s_{k}") for k in KINDS), F.lit(0)) > 0
     terms = revealing(docs, spanned.where(held), stash)
-    extra = terms.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
+    extra = terms.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("level", "start", "end"))).alias("terms"))
     listed = [F.transform(f"__s_{k}", partial(written, k)) for k in KINDS]
     own = F.concat(*listed)
-    more = F.transform(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int>>")), lambda x: F.concat_ws(":", F.lit("term"), x["start"].cast("string"), x["end"].cast("string")))
+    more = F.transform(F.coalesce("terms", F.array().cast("array<struct<level:string,start:int,end:int>>")), lambda x: F.concat_ws(":", x["level"], x["start"].cast("string"), x["end"].cast("string")))
     found = spanned.drop("text").join(bounded(stash.put("extra", extra, small=True), ROWS_CAP), ["k1", "k2"], "left").select(
         "doc_id",
         *(F.size(f"__s_{k}").cast("long").alias(f"n_{k}") for k in KINDS),
@@ -176,12 +183,12 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sanitise(docs: DataFrame, stash: Stash) -> DataFrame:
-    """``docs`` with entities replaced by their kind, revealing terms generalised to [TERM] or removed."""
+    """``docs`` with entities replaced by their kind, revealing terms generalised to [NAME] or [WORD] or removed."""
     names = docs.columns
     spanned = with_spans(docs.select(F.struct(*names).alias("row"), "text", *row_key()))
     held = sum((F.size(f"__s_{k}") for k in KINDS), F.lit(0)) > 0
     terms = revealing(docs, spanned.where(held), stash)
-    extra = terms.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end", F.when(F.col("level") == "removed", "").otherwise("[TERM]").alias("to"))).alias("terms"))
+    extra = terms.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end", "to")).alias("terms"))
     joined = spanned.join(bounded(stash.put("terms", extra), ROWS_CAP), ["k1", "k2"], "left")
     entities = [F.transform(f"__s_{k}", partial(replaced, k)) for k in KINDS]
     spans = F.array_sort(F.concat(*entities, F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,to:string>>"))))

@@ -157,7 +157,57 @@ def test_spans_by_random_texts(spark, texts):
 
 def rows_with_names():
     told = [f"{w} {v} meets Zorbania at zed@mail.example while {v} waits {i}" for i, (w, v) in enumerate((f"p{chr(97 + i)}q", f"filler{chr(97 + i)}x") for i in range(6))]
-    return [(i, t) for i, t in enumerate(told)] + [(50 + i, f"plain text number {i} about nothing while at meets waits") for i in range(60)] + [(200 + i, "copy of Unusual words by cop@mail.example here") for i in range(20)]
+    rows = [(i, t) for i, t in enumerate(told)] + [(50 + i, f"plain text number {i} about nothing while at meets waits") for i in range(60)]
+    rows += [(200 + i, "copy of Unusual words by cop@mail.example here") for i in range(20)] + [(300 + i, f"lone{chr(97 + i)} words near one{i}@mail.example") for i in range(9)]
+    often = [(400 + i, f"call Quentin now on +1 212 555 0100 about that") for i in range(8)] + [(450 + i, f"Quentin sat number {i}") for i in range(4)]
+    return rows + often + [(500 + i, f"{'z' * 300} 10.0.0.9 {'y' * 300}") for i in range(3)] + [(600, None), (601, ""), (None, "zed@mail.example Zorbania")]
+
+
+def told_terms(rows):
+    """The disclosure of every term around an entity, from plain counts of documents."""
+    import math
+
+    term = re.compile(r"[^\W\d_]{3,}")
+    holders, near, said, held = {}, {}, {}, {}
+    for n, (_, text) in enumerate(rows):
+        text = text or ""
+        for w in set(term.findall(text.lower())):
+            said.setdefault(w, set()).add(n)
+        for kind, start, end in base_spans(text):
+            m = text[start:end]
+            entity = (kind, m.lower() if kind == "email" else m if kind == "ip" else re.sub("[^0-9]", "", m))
+            holders.setdefault(entity, set()).add(n)
+            held.setdefault(n, set()).add(entity)
+            spans = [(x.start(), x.end(), x.group().lower()) for x in term.finditer(text)]
+            before = [w for s, e, w in spans if e <= start and s >= max(0, start - pii.REACH) and (s > start - pii.REACH or start <= pii.REACH)][-5:]
+            behind = [w for s, e, w in spans if s >= end and (e < end + pii.REACH or (e == end + pii.REACH == len(text)))][:5]
+            for w in {*before, *behind}:
+                near.setdefault((entity, w), set()).add(n)
+    out = []
+    for n, (doc, text) in enumerate(rows):
+        base, text = base_spans(text), text or ""
+        level = {}
+        for (entity, w), docs in near.items():
+            if entity in held.get(n, ()) and len(docs) >= pii.SUPPORT:
+                ic = math.log(len(rows) / len(holders[entity]))
+                level[w] = max(level.get(w, 0), math.log(len(rows) * len(docs) / (len(said[w]) * len(holders[entity]))) / ic)
+        terms = []
+        for m in term.finditer(text):
+            if level.get(m.group().lower(), 0) >= pii.GENERALISE and not any(s < m.end() and e > m.start() for _, s, e in base):
+                terms.append(("removed" if level[m.group().lower()] >= pii.REMOVE else "generalised", m.start(), m.end()))
+        write = lambda spans: ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        out.append((doc, *(sum(k == kind for k, _, _ in base) for kind in BASE), hashlib.sha256(write(base).encode()).hexdigest(), write([*base, *sorted(terms)])))
+    return sorted(out, key=repr)
+
+
+def test_query_by_brute_force(spark, tmp_path):
+    """The whole query, its hash and its spans; terms of one document, or said elsewhere too, disclose nothing."""
+    rows = rows_with_names()
+    spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, near int").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, pii.op4_pii(spark, str(tmp_path)).collect()), key=repr)
+    assert got == told_terms(rows)
+    spans = {r[0]: r[-1] for r in got}
+    assert "removed" in spans[0] and "removed" in spans[201] and "generalised" in spans[400] and "removed" not in spans[301]
 
 
 def test_terms_that_reveal_an_entity(spark):
@@ -166,7 +216,14 @@ def test_terms_that_reveal_an_entity(spark):
     texts = dict(rows_with_names())
     assert all("Zorbania" not in out[i] and "zed@" not in out[i] and "[EMAIL]" in out[i] for i in range(6))
     assert all(out[50 + i] == texts[50 + i] for i in range(60))
-    assert all(out[200 + i] == "copy of Unusual words by [EMAIL] here" for i in range(20))
+    assert "Unusual" not in out[200] and out[300] == "lonea words near [EMAIL]" and "[NAME]" in out[400] and out[450] == texts[450]
+
+
+def test_without_the_thresholds_nothing_is_a_term(spark, monkeypatch):
+    monkeypatch.setattr(pii, "GENERALISE", 2.0)
+    docs = spark.createDataFrame(rows_with_names(), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, Stash(spark)).collect()}
+    assert out[200] == "copy of Unusual words by [EMAIL] here"
 
 
 def test_sanitised_rows(spark):

@@ -236,6 +236,71 @@ def test_passages_parted_by_own_words(spark):
     assert all(r["similarity"] >= 0.8 and r["end_word"] - r["start_word"] >= 50 for r in got)
 
 
+def changed(words, alike, how, rng, own):
+    """A copy whose similarity is ``alike`` or a little more: every n-th word or random ones changed, left out or doubled."""
+    n = int(len(words) * (1 - alike) + 1e-9)
+    at = {round(i * len(words) / n) for i in range(n)} if how == "even" else set(rng.sample(range(len(words)), n))
+    out = []
+    for i, w in enumerate(words):
+        if i not in at or i in (0, len(words) - 1):
+            out.append(w)
+        elif how == "moved" and rng.random() < 0.5:
+            continue
+        elif how == "moved" and rng.random() < 0.5:
+            out += [w, *own(1)]
+        else:
+            out += own(1)
+    return out
+
+
+@pytest.mark.parametrize("how", ["even", "random", "moved"])
+def test_passages_recall(spark, how):
+    """Pairs of documents that share a passage of 55 to 90 words, at every similarity from 0.8 on; none of the others does."""
+    rng = random.Random(how)
+    common = [f"c{i}" for i in range(40)]  # a third of all words are frequent ones
+    own = lambda n: [rng.choice(common) if rng.random() < 0.35 else f"u{rng.random():.9f}" for _ in range(n)]
+    rows, planted = [], {}
+    for alike in (0.8, 0.82, 0.84, 0.86, 0.88, 0.9, 0.95, 1.0):
+        for _ in range(30):
+            passage = own(rng.randint(55, 90))
+            i = len(rows)
+            rows += [(i, " ".join(own(rng.randint(0, 80)) + passage + own(60))), (i + 1, " ".join(own(rng.randint(0, 80)) + changed(passage, alike, how, rng, own) + own(30)))]
+            planted[i] = alike
+    got = {(r["doc_id"], r["partner_id"]) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), Stash(spark)).collect()}
+    for alike in sorted(set(planted.values())):
+        pairs = [i for i, a in planted.items() if a == alike]
+        assert sum((i, i + 1) in got and (i + 1, i) in got for i in pairs) >= 0.9 * len(pairs), alike
+    assert all(a // 2 == b // 2 for a, b in got)
+
+
+def test_passages_of_overlapping_holders(spark):
+    """Two documents share all of a passage whose halves many others hold as well."""
+    rng = random.Random(12)
+    own = lambda n: [f"u{rng.random():.12f}" for _ in range(n)]
+    words = own(60)
+    rows = [(i, own(40) + words[:36] + own(40)) for i in (1, 20, 21, 22)] + [(i, own(30) + words[25:] + own(30)) for i in (2, 31, 32, 33)] + [(10, own(20) + words + own(9)), (30, words + own(50))]
+    got = passages.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string"), Stash(spark)).collect()
+    assert {(r["doc_id"], r["partner_id"]) for r in got} == {(10, 30), (30, 10)}
+
+
+@pytest.mark.parametrize("crowd", [8, 2])
+def test_passages_in_crowds_and_repeated_ids(spark, crowd, monkeypatch):
+    """A passage that all documents hold, long texts, repeated rows and an id with two texts."""
+    monkeypatch.setattr(passages, "CROWD", crowd)
+    monkeypatch.setattr(passages, "TOGETHER", 16)
+    rng = random.Random(3)
+    own = lambda n: [f"u{rng.random():.12f}" for _ in range(n)]
+    words = own(56)
+    rows = [(i, " ".join(own(30) + words + own(30))) for i in range(60)] + [(70, " ".join(own(20000) + words + own(20000)))]
+    rows += [(80, rows[0][1]), (80, rows[0][1]), (81, " ".join(own(90))), (81, " ".join(own(9) + words)), (82, " ".join(own(300)))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), Stash(spark)).collect()
+    assert {r["doc_id"] for r in got} == {*range(60), 70, 80, 81}
+    for i in (5, 70):
+        at = rows[60 if i == 70 else i][1].split().index(words[0])
+        assert any(r["doc_id"] == i and r["start_word"] <= at and r["end_word"] >= at + 56 for r in got)
+    assert len(got) < 10 * len(rows)
+
+
 def test_parts_of_an_alignment():
     rng = random.Random(8)
     for _ in range(60):

@@ -311,8 +311,8 @@ def toxic_rows():
 
 
 def test_toxicity_of_written_over_words(spark):
-    hidden = ["what an 1d10t you", "such an i d i o t there", "the m.o.r.o.n again", "you iiidiiiot", "$cum of the water", "m0r0n", "IDIOT!!", "idiöt"]
-    fair = ["house garden 10 20", "river t a b l e", "", None, "b2b paper 4 you", "riot in the idle garden", "x" * 90000]
+    hidden = ["you iddiot", "sccum", "you id iot", "mo ron", "hi idiot ten", "such mooorrrooon", "a5 1.d.1.0.t", "(m-o-r-o-n)", "z" * 70 + " moron " + "z " * 70, "what an 1d10t you", "such an i d i o t there", "the m.o.r.o.n again", "you iiidiiiot", "$cum of the water", "m0r0n", "IDIOT!!", "idiöt"]
+    fair = ["house garden 10 20", "river t a b l e", "", None, "b2b paper 4 you", "riot in the idle garden", "x" * 90000, "the id of water", "455 10 7", "i d like o tea", ". , " * 30000, "idio table"]
     extra = [(5000 + i, t) for i, t in enumerate(hidden)] + [(6000 + i, t) for i, t in enumerate(fair)] + [(None, "moron")]
     docs = spark.createDataFrame([(i, t, "x") for i, t, _ in toxic_rows()] + [(i, t, "x") for i, t in extra], "doc_id long, text string, words string")
     labels = spark.createDataFrame([(i, y) for i, _, y in toxic_rows() if i % 5] + [(1, None), (9999, 1)], "doc_id long, y long")
@@ -326,6 +326,57 @@ def test_toxicity_of_written_over_words(spark):
     assert toxicity.toxicity(docs.where("false"), labels, Stash(spark)).count() == 0
 
 
+def test_lattices_decide(spark, monkeypatch):
+    """With words read as they are written, what is written over is not found."""
+    docs = spark.createDataFrame([(i, t) for i, t, _ in toxic_rows()] + [(5000, "what an 1d10t you"), (5001, "mo ron")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in toxic_rows()] + [(0, 0)], "doc_id long, y long")
+    logs = toxicity.character_model(docs)
+    finder = toxicity.Finder(["idiot", "moron", "scum"], toxicity.Decoder(logs))
+    assert finder.find("what an 1d10t you")[0] == [0] and finder.find("mo ron")[0] == [1]
+    monkeypatch.setattr(finder.decoder, "words", lambda word: (word,))
+    assert finder.find("what an 1d10t you")[0] == [] and finder.find("mo ron")[0] == [] and finder.find("an idiot, a moron")[0] == [0, 1]
+    assert labels.count() == 1201  # row 0 has labels 1 and 0 and is left out
+    model = toxicity.learn(docs, labels, spark.sparkContext.broadcast(logs), Stash(spark))
+    assert set(model["lexicon"]) == {"idiot", "moron", "scum"}
+
+
+def test_every_path_through_a_known_word_is_decoded():
+    """Written over at random, each word is handed to the decoder, whatever stands around it."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    decoder = toxicity.Decoder(np.zeros([toxicity.SYMBOLS] * 4, np.float32))
+    asked = []
+    decoder.words = lambda word: asked.append(word) or ()
+    finder = toxicity.Finder(["idiot", "worthless", "imbecile", "fou"], decoder)
+    signs = {}
+    for sign, letters in toxicity.SIGNS.items():
+        for x in letters:
+            signs.setdefault(x, []).append(sign)
+    for _ in range(300):
+        word = rng.choice(["idiot", "worthless", "imbecile", "fou"])
+        written = "".join((rng.choice(signs[c]) if c in signs and rng.random() < 0.5 else c) * rng.choice([1, 1, 3]) + rng.choice(["", "", " ", ".", "-"]) for c in word).strip(" .-")
+        asked.clear()
+        found = finder.find(f"{rng.choice(['', 'tt ', 'so ', 'o, '])}{written}{rng.choice(['', ' tt', ', fine', '. s'])}")[0]
+        assert found or any(written.startswith(a) or a in written or written in a for a in asked), written
+
+
+def test_regression_by_closed_form():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows = [(sorted(set(rng.integers(0, 6, 2).tolist())), float(rng.random()), float(rng.random())) for _ in range(200)]
+    y = np.array([float(0 in r[0]) for r in rows])
+    w = toxicity.regression(rows, y, 6)
+    x = np.zeros((200, 9))
+    at, to, value = toxicity._table(rows, 6)
+    x[at, to] = value
+    p = 1 / (1 + np.exp(-x @ w))
+    assert np.abs(x.T @ (y - p) - np.append(np.full(8, toxicity.RIDGE), 1e-6) * w).max() < 1e-5
+
+
 def test_licences(spark):
     rows = [
         (1, "Some words here.\nLicensed under the Apache License, Version 2.0."),

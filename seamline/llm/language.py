@@ -3,9 +3,11 @@
 Letters of a text, lower-cased, with blanks for everything else, are hashed in
 runs of one to three characters. Document frequencies come from every row that
 may be learned from. The model is trained by follow-the-regularised-leader
-(per-coordinate steps, L1 and L2 penalties, so most weights are exactly zero)
-on a sample of at most about ``PER_LANGUAGE`` rows of a language, a fifth of
-which is held back to fit the temperature that calibrates the scores.
+(per-coordinate steps, L1 and L2 penalties, so most weights of the features
+seen are exactly zero) on a sample of at most about ``PER_LANGUAGE`` rows of a
+language, each whole and as a piece of a few words. A fifth of the rows is held
+back to fit the temperature that calibrates the scores, by pieces of one to
+eight words: whole texts are so easy to tell that any temperature would do.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 rows of null language are not learned from; with no rows to learn from all
@@ -29,7 +31,9 @@ FEATURES = 1 << BITS
 ORDERS = 3
 PER_LANGUAGE = 1500
 #: Step size, smoothing, L1 and L2 penalties, passes over the sample.
-ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 2e-4, 1e-4, 3
+ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.25, 1e-4, 3
+#: Words of a piece, and characters of a text that pieces are cut from.
+PIECE, CUT_FROM = 8, 1 << 16
 #: Characters hashed at a time, so that a long text needs no more memory than a short one.
 CHUNK = 1 << 18
 _letters: np.ndarray | None = None
@@ -79,13 +83,13 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int) -> np.ndarray:
+def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, l1: float) -> np.ndarray:
     """Weights (features, classes) of the multinomial model; the last feature row is the intercept."""
     z, n = np.zeros((FEATURES + 1, classes)), np.zeros((FEATURES + 1, classes))
 
     def weights(at: np.ndarray) -> np.ndarray:
         zs = z[at]
-        active = np.maximum(np.abs(zs) - L1, 0) * np.sign(zs)
+        active = np.maximum(np.abs(zs) - l1, 0) * np.sign(zs)
         return -active / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
 
     for turn in range(PASSES):
@@ -125,19 +129,42 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"k": at, "n": total[at]})
 
 
-def _train(languages: list[str], idf: np.ndarray) -> Callable:
+def piece(text: str, seed: int) -> str:
+    """One to ``PIECE`` neighbouring words of a text, picked by a number."""
+    words = text[:CUT_FROM].split()
+    rng = np.random.default_rng(seed)
+    size = int(rng.integers(1, PIECE + 1))
+    start = int(rng.integers(0, max(1, len(words) - size + 1)))
+    return " ".join(words[start : start + size])
+
+
+def _loss(logits: np.ndarray, labels: np.ndarray, t: float) -> float:
+    return float(-np.log(np.maximum(softmax(logits / t)[np.arange(len(labels)), labels], 1e-12)).mean())
+
+
+def _train(languages: list[str], idf: np.ndarray, l1: float) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat([x for x in batches], ignore_index=True)
-        pdf = pdf.sort_values(["h", "lang"], kind="stable") if len(pdf) else pdf
-        rows = [(sparse(t, idf), languages.index(x), h) for t, x, h in zip(pdf["text"], pdf["lang"], pdf["h"], strict=True)]
-        rows = [r for r in rows if r[0] is not None]
+        # Texts are read a batch at a time and only their features are held.
+        rows, pieces = [], []
+        for pdf in batches:
+            for t, x, h in zip(pdf["text"], pdf["lang"], pdf["h"], strict=True):
+                found, part = sparse(t, idf), sparse(piece(t, h), idf)
+                if found is not None:
+                    rows.append((h, languages.index(x), found))
+                if part is not None:
+                    pieces.append((h, languages.index(x), part))
         if not rows:
             return
-        held = [r for i, r in enumerate(rows) if i % 5 == 0] or rows
-        learned = [r for i, r in enumerate(rows) if i % 5] or rows
-        w = ftrl([r[0] for r in learned], np.array([r[1] for r in learned]), len(languages))
-        logits = np.stack([r[0][1] @ w[r[0][0]] + w[-1] for r in held])
-        yield pd.DataFrame({"w": [w.astype(np.float32).tobytes()], "t": [temperature(logits, np.array([r[1] for r in held]))]})
+        key = lambda r: (r[0], r[1], len(r[2][0]), float(r[2][1].sum()))
+        rows, pieces = sorted(rows, key=key), sorted(pieces, key=key)
+        held = [r for r in pieces if r[0] % 5 == 0] or pieces or rows
+        learned = [r for r in [*rows, *pieces] if r[0] % 5] or rows
+        w = ftrl([r[2] for r in learned], np.array([r[1] for r in learned]), len(languages), l1)
+        logits = np.stack([r[2][1] @ w[r[2][0]] + w[-1] for r in held])
+        labels = np.array([r[1] for r in held])
+        t = temperature(logits, labels)
+        seen = np.unique(np.concatenate([r[2][0] for r in learned]))
+        yield pd.DataFrame({"w": [w.astype(np.float32).tobytes()], "t": [t], "before": [_loss(logits, labels, 1.0)], "after": [_loss(logits, labels, t)], "zero": [float((w[seen] == 0).mean())]})
 
     return run
 
@@ -157,8 +184,12 @@ def tell(value: dict | None, texts: pa.Array) -> tuple[list[str], list[float]]:
     return names, scores
 
 
-def learn(labelled: DataFrame) -> dict | None:
-    """The model from rows of (doc_id, text, lang), all of which may be learned from."""
+def learn(labelled: DataFrame, l1: float = L1) -> dict | None:
+    """The model from rows of (doc_id, text, lang), all of which may be learned from.
+
+    It tells the temperature ``t``, the held-back loss ``before`` and ``after``
+    it, and the share of weights of seen features that are ``zero``.
+    """
     spark = labelled.sparkSession
     python_batches(spark)
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
@@ -173,11 +204,11 @@ def learn(labelled: DataFrame) -> dict | None:
     h = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")), F.lit(1 << 40))
     share = F.element_at(F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, PER_LANGUAGE / n)))), F.col("lang"))
     sample = labelled.withColumn("h", h).where(F.col("h") < share * float(1 << 40)).select("text", "lang", "h")
-    trained = sample.repartition(1).mapInPandas(_train(languages, idf), "w binary, t double").collect()
+    trained = sample.repartition(1).mapInPandas(_train(languages, idf, l1), "w binary, t double, before double, after double, zero double").collect()
     if not trained:
         return None
     w = np.frombuffer(trained[0]["w"], np.float32).reshape(FEATURES + 1, len(languages)).astype(np.float64)
-    return {"languages": languages, "idf": idf, "w": w, "t": trained[0]["t"]}
+    return {"languages": languages, "idf": idf, "w": w, **{k: trained[0][k] for k in ("t", "before", "after", "zero")}}
 
 
 def identify(docs: DataFrame, model: dict | None, keep: list[str]) -> DataFrame:

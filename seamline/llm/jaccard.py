@@ -19,9 +19,14 @@ pair. Lists are never expanded into pairs:
 The set of frequent shingles only orders the index. It holds at most
 ``FREQUENT`` shingles; any choice gives the same links.
 
+A class is known by two independent sums of 64 bits; classes that agree in the
+first only, if there ever are any, are numbered anew.
+
 Defined cases: null, empty and blank texts have no shingles and link with
 nothing; a text of fewer words than a shingle is one shingle; equal rows are
-linked; an empty table gives an empty result; other columns are ignored.
+linked; rows of one id with different texts are compared each by its own text;
+rows without an id link with nothing; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,16 +58,20 @@ def _need(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
+def prints(found: np.ndarray) -> tuple[int, int]:
+    """Two sums that name a set."""
+    n = np.uint64(len(found))
+    with np.errstate(over="ignore"):
+        return tuple(int(mix64(x).sum(dtype=np.uint64).astype(np.int64)) for x in (found + n, found * np.uint64(0xD6E8FEB86659FD93) + n))
+
+
 def _heads(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints = [], []
-            for text in batch.column(1):
-                found = shingle_set(text.as_py(), k)
-                sizes.append(len(found))
-                with np.errstate(over="ignore"):
-                    prints.append(int((mix64(found + np.uint64(len(found))).sum(dtype=np.uint64)).astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64())], names=["doc_id", "n", "cid"])
+            sets = [shingle_set(text.as_py(), k) for text in batch.column("text")]
+            named = [prints(x) for x in sets]
+            columns = [pa.array(x, pa.int64()) for x in ([len(x) for x in sets], [x for x, _ in named], [x for _, x in named])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), *columns], names=["doc_id", "th", "n", "cid", "check"])
 
     return run
 
@@ -73,7 +82,7 @@ def _region(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for text in batch.column(1):
+            for text in batch.column("text"):
                 found = shingle_set(text.as_py(), k)
                 parts.append(found[: 2 * (len(found) - _need(len(found), percent) + 1)])
             tokens = np.concatenate(parts) if parts else np.empty(0, np.uint64)
@@ -82,23 +91,24 @@ def _region(k: int, percent: int):
     return run
 
 
-def _postings(k: int, percent: int, frequent):
+def _postings(k: int, percent: int, frequent, moved: dict[tuple[int, int], int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
         for batch in batches:
             tokens, cids, sizes, places = [], [], [], []
-            for text in batch.column(1):
+            for text in batch.column("text"):
                 found = shingle_set(text.as_py(), k)
                 n = len(found)
                 if not n:
                     continue
-                cid = mix64(found + np.uint64(n)).sum(dtype=np.uint64).astype(np.int64)
+                named = prints(found)
+                cid = moved.get(named, named[0])
                 if len(often):
                     common = often[np.minimum(np.searchsorted(often, found), len(often) - 1)] == found
                     found = np.concatenate([found[~common], found[common]])
                 prefix = found[: n - _need(n, percent) + 1]
                 tokens.append(prefix)
-                cids.append(np.full(len(prefix), cid))
+                cids.append(np.full(len(prefix), cid, np.int64))
                 sizes.append(np.full(len(prefix), n, np.int32))
                 places.append(np.arange(len(prefix), dtype=np.int32))
             if tokens:
@@ -113,7 +123,7 @@ def _postings(k: int, percent: int, frequent):
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(text.as_py(), k) for text in batch.column(1)]
+            found = [shingle_set(text.as_py(), k) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in found], pa.binary())], names=["cid", "items"])
 
     return run
@@ -144,8 +154,8 @@ def _compare_families(members: DataFrame, texts: DataFrame, classes: DataFrame,
 
 def _sets_of(ids: DataFrame, texts: DataFrame, classes: DataFrame, stash: Stash, name: str, k: int) -> DataFrame:
     """(cid, items) of the classes ``ids``, read from the text of one document each."""
-    wanted = stash.put(f"{name}-ids", ids.join(classes, "cid").select("cid", F.col("rep").alias("doc_id")))
-    return texts.join(bounded(wanted, IDS), "doc_id").select("cid", "text").mapInArrow(_sets(k), "cid long, items binary").dropDuplicates(["cid"])
+    wanted = stash.put(f"{name}-ids", ids.join(classes, "cid").select("cid", F.col("rep").alias("doc_id"), "th"))
+    return texts.join(bounded(wanted, IDS), ["doc_id", "th"]).select("cid", "text").mapInArrow(_sets(k), "cid long, items binary").dropDuplicates(["cid"])
 
 
 def _family(percent: int):
@@ -204,20 +214,40 @@ def _incidence(sets: list[np.ndarray], items: np.ndarray) -> np.ndarray:
 
 def groups(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; ``percent`` is the similarity from which two sets link."""
+    return grouped(docs, stash, k, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _classes(heads: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame, dict[tuple[int, int], int]]:
+    """``heads`` and their classes (cid, rep, th, size), with a number of its own for each, and the numbers that changed."""
+    first = F.min(F.struct("doc_id", "th"))
+    found = heads.where("n > 0 AND doc_id IS NOT NULL").groupBy("cid", "check").agg(first.alias("first"), F.count("*").alias("size"))
+    classes = stash.put("classes", found.select("cid", "check", F.col("first.doc_id").alias("rep"), F.col("first.th").alias("th"), "size"))
+    shared = classes.groupBy("cid").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high").select("cid", "low")
+    again = classes.join(shared, "cid").where("check <> low").select("cid", "check", F.xxhash64("cid", "check").alias("own")).collect()  # hardly ever any
+    if again:
+        table_ = F.broadcast(heads.sparkSession.createDataFrame([tuple(r) for r in again], "cid long, check long, own long"))
+        anew = lambda df: df.join(table_, ["cid", "check"], "left").withColumn("cid", F.coalesce("own", "cid")).drop("own")
+        heads, classes = anew(heads), anew(classes)
+    return heads, classes.drop("check"), {(r["cid"], r["check"]): r["own"] for r in again}
+
+
+def grouped(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
+    """(doc_id, th, n, group, component_id) for every row: the hash of its text, the size of its set, and its component
+    by number (null without one) and by smallest id."""
     spark = docs.sparkSession
     python_batches(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    heads = stash.put("heads", texts.mapInArrow(_heads(k), "doc_id long, n long, cid long"))
-    classes = stash.put("classes", heads.where("n > 0 AND doc_id IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    heads = stash.put("heads", texts.mapInArrow(_heads(k), "doc_id long, th long, n long, cid long, check long"))
+    heads, classes, moved = _classes(heads, stash)
 
     region = texts.mapInArrow(_region(k, percent), "tok long").groupBy("tok").count().where(F.col("count") >= OFTEN)
     top = region.orderBy(F.desc("count"), "tok").limit(FREQUENT).select("tok").toPandas()["tok"]
     frequent = spark.sparkContext.broadcast(np.sort(top.to_numpy(np.int64).view(np.uint64)))
 
-    copies = heads.join(classes.where("size > 1"), "cid").where("doc_id <> rep").select("doc_id")
-    single = texts.where("doc_id IS NOT NULL").join(bounded(copies, IDS), "doc_id", "left_anti")
+    copies = heads.where("n > 0").join(classes.where("size > 1").withColumnRenamed("th", "rep_th"), "cid").where("doc_id <> rep OR th <> rep_th").select("doc_id", "th")
+    single = texts.where("doc_id IS NOT NULL").join(bounded(copies, IDS), ["doc_id", "th"], "left_anti")
     listed = Window.partitionBy("tok")
-    postings = single.mapInArrow(_postings(k, percent, frequent), "tok long, cid long, n int, place int")
+    postings = single.mapInArrow(_postings(k, percent, frequent, moved), "tok long, cid long, n int, place int")
     index = stash.put(
         "index",
         postings.withColumn("hub", F.min("cid").over(listed))
@@ -321,17 +351,21 @@ def groups(docs: DataFrame, stash: Stash, k: int, percent: int) -> DataFrame:
     joined = components(found.unionByName(last.where(linked).select("a", "b")).unionByName(dense), stash, "ccz")
     named = joined.join(classes, joined["node"] == classes["cid"]).select("cid", "component", "rep")
     least_of = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    final = classes.join(named.join(least_of, "component").select("cid", "component_id"), "cid", "left").select("cid", F.coalesce("component_id", "rep").alias("component_id"))
+    final = classes.join(named.join(least_of, "component").select("cid", "component", "component_id"), "cid", "left").select("cid", F.coalesce("component", "cid").alias("group"), F.coalesce("component_id", "rep").alias("component_id"))
+    own = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return heads.join(final, "cid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "th", "n", F.when(own, F.col("group")).alias("group"), F.when(own, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, stash: Stash, k: int = 4, percent: int = 85) -> DataFrame:
-    """``docs`` without the documents linked to one of a smaller id; rows without id stay."""
-    kept = groups(docs, stash, k, percent).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """One row of each component: that of the smallest id and, where its texts differ, of the smallest hash. Rows without
+    an id or without a word stay."""
+    kept = grouped(docs, stash, k, percent).where("group IS NOT NULL").groupBy("group").agg(F.min(F.struct("doc_id", "th")).alias("first")).select("first.*")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("said"))
+    joins = F.col("said") & F.col("doc_id").isNotNull()
+    chosen = keyed.where(joins).join(kept, ["doc_id", "th"], "left_semi").dropDuplicates(["doc_id", "th"])
+    return chosen.select("row.*").unionByName(keyed.where(~joins).select("row.*"))
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

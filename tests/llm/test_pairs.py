@@ -102,10 +102,32 @@ def test_jaccard_repeated_rows_and_empty(spark):
     assert got == sorted([(5, 27, 3), (5, 27, 3), (3, 27, 3), (None, 1, None), (9, 0, 9)], key=repr)
     kept = jaccard.keep_one(docs, Stash(spark)).collect()
     assert sorted((r["doc_id"] for r in kept), key=repr) == [3, 9, None]
+    assert jaccard.keep_one(docs.unionByName(spark.createDataFrame([(9, ""), (9, " ")], "doc_id long, text string")), Stash(spark)).where("doc_id = 9").count() == 3
     none = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.groups(none, Stash(spark), 4, 85).count() == 0
 
 
+def test_jaccard_ids_with_several_texts(spark):
+    """Each text of an id is compared and kept by itself; only linked rows are left out."""
+    rng = random.Random(11)
+    one, two, three = (" ".join(f"u{rng.randrange(10**9)}" for _ in range(40)) for _ in range(3))
+    rows = [(5, one), (5, two), (3, two), (7, three), (7, one + " end"), (8, three + " end"), (5, one)]
+    docs = spark.createDataFrame([(d, t, d) for d, t in rows], "doc_id long, text string, th long")
+    got = sorted(map(tuple, jaccard.groups(docs, Stash(spark), 4, 85).collect()))
+    assert got == sorted([(5, 37, 5), (5, 37, 3), (3, 37, 3), (7, 37, 7), (7, 38, 5), (8, 38, 7), (5, 37, 5)])
+    kept = sorted((r["doc_id"], r["text"]) for r in jaccard.keep_one(docs, Stash(spark)).collect())
+    assert kept == sorted([(5, one), (3, two), (7, three)])
+
+
+def test_jaccard_classes_of_equal_sums(spark):
+    """Classes that agree in the first sum only get numbers of their own."""
+    heads = spark.createDataFrame([(1, 0, 9, 77, 1), (2, 1, 9, 77, 2), (3, 1, 9, 77, 2), (4, 2, 9, 78, 5)], "doc_id long, th long, n long, cid long, check long")
+    heads, classes, moved = jaccard._classes(heads, Stash(spark))
+    of = {r["doc_id"]: r["cid"] for r in heads.collect()}
+    assert of[1] == 77 and of[2] == of[3] != 77 and of[4] == 78 and moved == {(77, 2): of[2]}
+    assert sorted((r["rep"], r["size"]) for r in classes.collect()) == [(1, 1), (2, 2), (4, 1)]
+
+
 def test_hashes_tell_words_apart():
     assert len(set(word_hashes("ab ba abc a b").tolist())) == 5
     assert (word_hashes("Ab É") == word_hashes("aB É")).all() and word_hashes("É")[0] != word_hashes("é")[0]

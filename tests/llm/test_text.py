@@ -417,7 +417,7 @@ def test_licences(spark):
         (9, "LICENSED UNDER THE APACHE LICENSE, VERSION 2.0.\nReleased under the MIT License."),
     ] + [(100 + i, f"plain sentence number {i} of the corpus. Another one {i}.") for i in range(50)]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, family string")
-    got = {r["doc_id"]: r["families"] for r in licences.stash_found(docs.select("doc_id", "text"), Stash(spark)).collect()}
+    got = {r["doc_id"]: r["families"] for r in licences.scanned(docs.select("doc_id", "text"), Stash(spark)).collect() if r["families"]}
     assert got == {1: "apache", 2: "mit", 3: "gpl", 4: "cc-by-nc", 9: "apache,mit"}
 
 
@@ -427,5 +427,51 @@ def test_licences_without_cue(spark):
     rows += [(100, "Distributed under Apache 2.0.", "apache"), (101, "Released under MIT.", "mit")]
     rows += [(200 + i, f"plain sentence number {i} of the corpus. Another one {i}.", None) for i in range(50)]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
-    got = {r["doc_id"]: r["families"] for r in licences.stash_found(docs, Stash(spark)).collect()}
+    got = {r["doc_id"]: r["families"] for r in licences.scanned(docs, Stash(spark)).collect() if r["families"]}
     assert got == {i: f for i, _, f in rows if f}
+
+
+HELD_OUT = [
+    ("Licensed under the Apache Licence, v2.0", "apache"), ("This library is released under the Apache License 2.0.", "apache"),
+    ("You may obtain a copy; licensed under the Apache License Version 2.0.", "apache"), ("This code is licensed under the MIT License", "mit"),
+    ("It is released under the MIT license.", "mit"), ("Published and released under the MIT License by its authors.", "mit"),
+    ("This program is licensed under the GNU General Public License v3.", "gpl"), ("You can redistribute it under the terms of the GNU General Public License.", "gpl"),
+    ("Licensed under the GNU Lesser General Public License.", "lgpl"), ("Released under the 3-Clause BSD License.", "bsd"),
+    ("Text licensed under CC BY-SA 4.0", "cc-by-sa"), ("All content is licensed under CC BY-NC 4.0.", "cc-by-nc"),
+    ("This article is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"), ("Copyright 1999, all rights reserved.", "proprietary"),
+    ("Subject to the terms of the Mozilla Public License, v. 2.0.", "mpl"),
+]
+HELD_OUT_OTHERS = [
+    "The MIT License is older than the Apache License, says our blog post.", "Her fishing licence expired in May.", "What is the difference between the GPL and the BSD License?",
+    "Copyright disputes over the song went on.", "The software was released in June.", "The general public license debate was on the radio.", "He was released under the bridge.",
+    "All rights of way were reserved for the railway.", "Creative people love the commons of the town.", "This work is hard.", "A warranty card lay in the box.", "The Apache helicopter landed in the lake.",
+]
+
+
+def test_licences_precision_and_recall(spark):
+    """Statements in other words than the templates', and sentences that only speak of licences."""
+    rows = [(i, t) for i, (t, _) in enumerate(HELD_OUT)] + [(100 + i, t) for i, t in enumerate(HELD_OUT_OTHERS)]
+    docs = spark.createDataFrame([*rows, *((200 + i, f"plain sentence number {i} of the corpus.") for i in range(50))], "doc_id long, text string")
+    got = {r["doc_id"]: r["families"] for r in licences.scanned(docs, Stash(spark)).collect()}
+    right = sum(got[i] == f for i, (_, f) in enumerate(HELD_OUT))
+    told = sum(bool(x) for x in got.values())
+    print([(t, got[i]) for i, t in rows if got[i] != dict((t_, f) for t_, f in HELD_OUT).get(t, "")])
+    assert right >= 0.8 * len(HELD_OUT) and right >= 0.9 * told
+
+
+def test_licence_rows(spark):
+    """Nameless and repeated rows, ids with several texts, very long texts and clashing columns."""
+    rows = [(1, "Released under the MIT License."), (1, "Nothing here."), (None, "Released under the MIT License."), (2, "Released under the MIT License.\n" * 2)]
+    rows += [(3, "Licensed under CC BY-NC 4.0."), (3, "Licensed under CC BY-NC 4.0."), (4, "w " * 100000 + "\nLicensed under CC BY-NC 4.0."), (5, "plain words here")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, family string")
+    got = sorted(((r["doc_id"], r["families"], r["statements"]) for r in licences.scanned(docs, Stash(spark)).collect()), key=repr)
+    assert got == sorted([(1, "mit", 1), (1, "", 0), (None, "mit", 1), (2, "mit", 1), (3, "cc-by-nc", 1), (3, "cc-by-nc", 1), (4, "cc-by-nc", 1), (5, "", 0)], key=repr)
+    assert licences.scanned(docs.where("false"), Stash(spark)).count() == 0
+
+
+def test_calibration_decides(spark, monkeypatch):
+    """With the least probability out of reach nothing is found."""
+    docs = spark.createDataFrame([(1, "Released under the MIT License."), (2, "plain words here")], "doc_id long, text string")
+    monkeypatch.setattr(licences, "LEAST", 1.0)
+    monkeypatch.setattr(licences, "MOST", 1.0)
+    assert {r["families"] for r in licences.scanned(docs, Stash(spark)).collect()} == {""}

@@ -25,12 +25,13 @@ FURNITURE = [
     "STONE", "GLASS", "INCLINED", "BONDED", "VACANT", "STORIES", "STORY", "BASEMENT", "CELLAR", "TANK", "BOILER", "ENGINE", "YARD", "FENCE",
     "STEPS", "PORCH", "VERANDAH",
 ]
-# Hue bands of wash colours in degrees, wrapping at 360; None is grey.
+# Colour words and their hue bands in degrees, wrapping at 360; None is grey.
 HUE_BANDS = {
-    "yellow": (35, 75), "orange": (15, 40), "brown": (10, 45), "pink": (320, 20), "red": (330, 25), "green": (80, 170), "blue": (180, 260),
-    "purple": (260, 320), "grey": None,
+    "yellow": (35, 75), "gelb": (35, 75), "jaune": (35, 75), "orange": (15, 40), "brown": (10, 45), "braun": (10, 45), "brun": (10, 45),
+    "pink": (320, 20), "red": (330, 25), "rot": (330, 25), "rouge": (330, 25), "rose": (320, 20), "rosa": (320, 20),
+    "green": (80, 170), "gruen": (80, 170), "grün": (80, 170), "vert": (80, 170), "blue": (180, 260), "blau": (180, 260), "bleu": (180, 260),
+    "purple": (260, 320), "violet": (260, 320), "violett": (260, 320), "grey": None, "gray": None, "grau": None, "gris": None,
 }
-# Letters with marks and their base letters.
-ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
+# Keys of an address that name a municipality, the first that is there.
+MUNICIPALITY_KEYS = ["city", "town", "village", "municipality", "city_district", "borough", "hamlet", "suburb"]
 SIDES = ["N", "NE", "E", "SE", "S", "SW", "W", "NW"]

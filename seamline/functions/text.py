@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,10 +21,44 @@ def is_direction(word: Column) -> Column:
     return word.isin(D.DIRECTIONS)
 
 
+@cache
+def _plain() -> tuple[str, str, dict[str, str]]:
+    """Letters whose compatibility decomposition is one letter and marks, those letters, and what decomposes to several.
+
+    Built from the Unicode table for all planes; marks themselves stand behind
+    the letters, where a translation leaves them out.
+    """
+    marked, bare, several = [], [], {}
+    marks = [chr(i) for i in range(0x20000) if unicodedata.combining(chr(i))]
+    for i in range(0xA0, 0x20000):
+        c = chr(i)
+        if unicodedata.combining(c) or 0xD800 <= i < 0xE000 or 0xAC00 <= i < 0xD7A4 or c in "ßẞ":
+            continue
+        base = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if base != c and len(base) == 1:
+            marked.append(c)
+            bare.append(base)
+        elif base != c:
+            several[c] = base
+    return "".join(marked + marks), "".join(bare), several
+
+
 def fold(text: Column) -> Column:
-    """Sharp s as two letters, marked letters as their base letter (Latin letters)."""
+    """Sharp s as two letters, then without marks: the compatibility decomposition less its combining characters.
+
+    Plain ASCII is left alone. Of the characters that decompose to several, those
+    of ``LIGATURES`` are spelled out; the others and Hangul syllables stay whole.
+    """
+    marked, bare, several = _plain()
     doubled = F.replace(F.replace(text, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("SS"))
-    return F.translate(doubled, D.ACCENTED, D.PLAIN)
+    spread = doubled
+    for c in LIGATURES:
+        spread = F.replace(spread, F.lit(c), F.lit(several[c]))
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(F.translate(spread, marked, bare))
+
+
+#: Fixed value: characters in names that decompose to several letters.
+LIGATURES = "ĳĲŉǆǅǄǉǈǇǌǋǊǳǲǱﬀﬁﬂﬃﬄﬅﬆ½¼¾…№™"
 
 
 def _words(text: Column) -> Column:

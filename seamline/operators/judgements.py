@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,10 +75,39 @@ def place_query(name: Column, typ: Column) -> Column:
     return F.when(typ.isNull(), title(name)).when(typ.isin(fused), joined).otherwise(F.concat_ws(" ", title(name), title(spelled)))
 
 
+def tail_start(text: str, least: int = 8000, times: int = 10, shortest: int = 2) -> int:
+    """Where a text's last repeat begins that is kept: the shortest piece it ends in ``times`` times or more stays once.
+
+    How far a text agrees with itself shifted by a period, read from its end, is
+    the prefix table of the text turned round: one pass over the characters.
+    """
+    n = len(text)
+    if n < least:
+        return n
+    turned = text[::-1]
+    agree = [0] * n
+    low = high = 0
+    for i in range(1, n):
+        size = min(high - i, agree[i - low]) if i < high else 0
+        while i + size < n and turned[size] == turned[i + size]:
+            size += 1
+        agree[i] = size
+        if i + size > high:
+            low, high = i, i + size
+    for period in range(shortest, n // times + 1):
+        if agree[period] >= (times - 1) * period:
+            return n - agree[period] // period * period
+    return n
+
+
 def repeated_tail(text: Column, least: int = 8000, times: int = 10, shortest: int = 2) -> Column:
-    """A text that ends in a piece repeated at least ``times`` times keeps one of them; shorter texts stay as they are."""
-    pattern = rf"(?s)^(.*?)(.{{{shortest},}}?)\2{{{times - 1},}}$"
-    return F.when((F.length(text) >= least) & text.rlike(pattern), F.regexp_replace(text, pattern, "$1$2")).otherwise(text)
+    """A text that ends in a piece repeated at least ``times`` times keeps one of them; shorter texts stay as they are and in the JVM."""
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t if t is None else t[: tail_start(t, least, times, shortest)])
+
+    return F.when(F.length(text) >= least, cut(text)).otherwise(text)
 
 
 def preset_of(prompts: DataFrame, presets: DataFrame) -> DataFrame:
@@ -148,8 +178,9 @@ def fit_rollup(labels: DataFrame) -> DataFrame:
 
 
 def tint_names(df: DataFrame) -> DataFrame:
-    """Names of tints by the angle of their colour; several of one name are numbered by angle."""
-    base = F.when((F.col("angle") >= 330) | (F.col("angle") < 30), "pink").when(F.col("angle") < 100, "yellow").when(F.col("angle") < 190, "green").when(F.col("angle") < 290, "blue").otherwise("purple")
+    """Names of tints by the angle of their colour; several of one name are numbered in the order of the tints."""
+    angle = F.col("angle")
+    base = F.when((angle <= 35) | (angle >= 325), "pink").when(angle <= 130, "yellow").when(angle <= 200, "green").when(angle <= 300, "blue").otherwise("purple")
     same = Window.partitionBy("sheet", "base")
-    named = df.withColumn("base", base).withColumns({"n": F.count("*").over(same), "i": F.row_number().over(same.orderBy("angle", "tint"))})
-    return named.withColumn("name", F.when(F.col("n") > 1, F.concat_ws(" ", "base", F.col("i").cast("string"))).otherwise(F.col("base"))).drop("n", "i", "base")
+    named = df.withColumn("base", base).withColumns({"n": F.count("*").over(same), "i": F.row_number().over(same.orderBy("tint"))})
+    return named.withColumn("name", F.when(F.col("n") > 1, F.concat("base", F.col("i").cast("string"))).otherwise(F.col("base"))).drop("n", "i", "base")

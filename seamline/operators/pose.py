@@ -37,21 +37,23 @@ def rotation_agreement(labels: DataFrame, segments: DataFrame, rotations: int =
 def coarse_search(labels: DataFrame, segments: DataFrame, scales: list[float], rotations: list[float], grid: list[tuple[float, float]], keep: int = 3, k: float = 15.0) -> DataFrame:
     """(sheet, scale, rot, gx, gy, cost, place): the ``keep`` cheapest translations of each sheet, scale and rotation.
 
-    Labels, relative to their sheet's centre, are moved by every candidate and
-    meet the segments of their own street only: a hash join on the street,
-    then a minimum per label and a sum of Huber costs per candidate, both of
-    which combine before they are shuffled.
+    Labels, relative to their sheet's centre, meet the segments of their own
+    street only and are then moved by every candidate, so that what is shuffled
+    for the join are labels and segments; the minimum per label and the sum of
+    Huber costs per candidate combine before they are shuffled.
     """
     centre = labels.groupBy("sheet").agg(F.avg("px").alias("cx"), F.avg("py").alias("cy"))
     relative = labels.join(centre, "sheet").select("sheet", "label_id", "street", (F.col("px") - F.col("cx")).alias("x"), (F.col("py") - F.col("cy")).alias("y"))
     tried = F.explode(F.array(*(F.struct(F.lit(s).alias("scale"), F.lit(r).alias("rot")) for s in scales for r in rotations))).alias("pose")
     moved = F.explode(F.array(*(F.struct(F.lit(x).alias("gx"), F.lit(y).alias("gy")) for x, y in grid))).alias("g")
-    posed = relative.select("*", tried).select("*", moved)
+    ways = segments.select("street", "ax", "ay", "bx", "by_")
+    posed = relative.join(ways, "street").select("*", tried).select("*", moved)
     x, y = G.affine(F.col("x"), F.col("y"), G.similarity(F.col("pose.scale"), F.col("pose.rot"), F.col("g.gx"), F.col("g.gy")))
-    placed = posed.select("sheet", "label_id", "street", "pose.scale", "pose.rot", "g.gx", "g.gy", x.alias("mx"), y.alias("my"))
-    ways = segments.groupBy("street").agg(F.collect_list(F.struct("ax", "ay", "bx", "by_")).alias("ways"))
-    distance = F.array_min(F.transform("ways", lambda s: G.nearest_on_segment(F.col("mx"), F.col("my"), s["ax"], s["ay"], s["bx"], s["by_"])[2]))
-    costs = placed.join(ways, "street").withColumn("cost", G.huber(distance, k)).groupBy("sheet", "scale", "rot", "gx", "gy").agg(F.sum("cost").alias("cost"), F.count("*").alias("labels"))
+    placed = posed.select("sheet", "label_id", "pose.scale", "pose.rot", "g.gx", "g.gy", "ax", "ay", "bx", "by_", x.alias("mx"), y.alias("my"))
+    candidate = ["sheet", "scale", "rot", "gx", "gy"]
+    distance = G.nearest_on_segment(*(F.col(c) for c in ("mx", "my", "ax", "ay", "bx", "by_")))[2]
+    nearest = placed.groupBy(*candidate, "label_id").agg(F.min(distance).alias("d"))
+    costs = nearest.groupBy(*candidate).agg(F.sum(G.huber(F.col("d"), k)).alias("cost"), F.count("*").alias("labels"))
     best = Window.partitionBy("sheet", "scale", "rot").orderBy("cost", "gx", "gy")
     return costs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep)
 

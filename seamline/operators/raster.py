@@ -115,25 +115,28 @@ def label_regions(mask: np.ndarray, diagonal: bool = False) -> tuple[np.ndarray,
 
 
 def grow(labels: np.ndarray, mask: np.ndarray, rounds: int) -> np.ndarray:
-    """Labels spread over the mask by one pixel a round, the larger number first where they meet."""
-    out = labels.copy()
-    for _ in range(rounds):
-        framed = np.pad(out, 1)
-        around = np.max([framed[1 + dy : 1 + dy + out.shape[0], 1 + dx : 1 + dx + out.shape[1]] for dy in (-1, 0, 1) for dx in (-1, 0, 1)], axis=0)
-        new = mask & (out == 0) & (around > 0)
-        if not new.any():
-            break
-        out[new] = around[new]
-    return out
+    """Labels spread over the mask from their rims, one pixel in eight directions a round; of two that meet the larger number wins."""
+    width = labels.shape[1] + 2
+    out, free = np.pad(labels, 1).ravel(), np.pad(mask, 1).ravel()
+    steps = np.array([dy * width + dx for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dy or dx])
+    rim = np.flatnonzero(out)
+    while rounds and len(rim):
+        to, of = (rim[:, None] + steps).ravel(), np.repeat(out[rim], len(steps))
+        open_ = free[to] & (out[to] == 0)
+        rim = np.unique(to[open_])
+        reached = np.zeros_like(out)
+        np.maximum.at(reached, to[open_], of[open_])
+        out[rim] = reached[rim]
+        rounds -= 1
+    return out.reshape(-1, width)[1:-1, 1:-1]
 
 
 def split_necks(white: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Regions parted at passages narrower than twice the radius, and which of them have a core."""
-    core, n = label_regions(erode(white, radius))
-    out = grow(core, white, radius + 2)
-    rest, more = label_regions(white & (out == 0))
-    out[rest > 0] = rest[rest > 0] + n
-    return out, np.arange(1, n + more + 1) <= n
+    cores, wide = label_regions(erode(white, radius))
+    with_rims = grow(cores, white, radius + 2)
+    narrow, slim = label_regions(white & ~with_rims.astype(bool))
+    return with_rims + np.where(narrow > 0, narrow + wide, 0), np.repeat([True, False], [wide, slim])
 
 
 def contact(labels: np.ndarray) -> tuple[np.ndarray, dict[tuple[int, int], int]]:

@@ -54,12 +54,11 @@ def rebuild(master: DataFrame, per_run: DataFrame) -> DataFrame:
     return per_run.unionByName(master.join(per_run.select("event_id"), "event_id", "left_anti"))
 
 
-def backfill(log: DataFrame) -> DataFrame:
-    """(run, stage) pairs without an event, for runs and stages that have any. The stages are a short list, so they are aggregated first and broadcast by size."""
-    stages = log.select("stage").distinct()
+def backfill(log: DataFrame, stages: list[str]) -> DataFrame:
+    """(run, stage) pairs of the known stages without an event, for runs that have any."""
     have = log.groupBy("run").agg(F.collect_set("stage").alias("have"))
-    wanted = stages.agg(F.sort_array(F.collect_set("stage")).alias("all"))
-    return have.join(F.broadcast(wanted)).select("run", F.explode(F.array_except("all", "have")).alias("stage")).withColumn("backfilled", F.lit(True))
+    lacking = F.array_except(F.array(*(F.lit(s) for s in stages)), "have")
+    return have.select("run", F.explode(lacking).alias("stage")).withColumn("backfilled", F.lit(True))
 
 
 def lap_seconds(log: DataFrame) -> DataFrame:

@@ -64,16 +64,38 @@ def nearest_segment(points: DataFrame, segments: DataFrame, cell: float, rings:
     return points.join(best, "point_id", "left").select(*points.columns, F.col("best.seg_id").alias("seg_id"), F.col("best.d").alias("dist"))
 
 
-def lonely(segments: DataFrame, limit: float) -> DataFrame:
-    """(street, alone): whether no other street comes within ``limit`` of a street's vertices; by grid cells of that size."""
-    ends = segments.select("street", F.explode(F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by_").alias("y")))).alias("v")).select("street", "v.x", "v.y").distinct()
+def vertices(segments: DataFrame, most: int = 60) -> DataFrame:
+    """(street, x, y): the ends of a street's segments in order, every n-th of those of a street with more than ``most``."""
+    ends = F.array(*(F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("ax", "ay"), ("bx", "by_"))))
+    order = Window.partitionBy("street")
+    listed = segments.select("street", "seg_id", F.posexplode(ends).alias("end", "v"))
+    listed = listed.withColumns({"i": F.row_number().over(order.orderBy("seg_id", "end")) - 1, "n": F.count("*").over(order)})
+    return listed.where(F.col("i") % F.greatest(F.floor(F.col("n") / most), F.lit(1)) == 0).select("street", "v.x", "v.y")
+
+
+def close_streets(segments: DataFrame, limit: float) -> DataFrame:
+    """(street, other) both ways where a vertex of the first by name comes within ``limit`` of the other; by cells of that size."""
     spread = F.explode(G.cells(F.least("ax", "bx") - limit, F.least("ay", "by_") - limit, F.greatest("ax", "bx") + limit, F.greatest("ay", "by_") + limit, limit))
     others = segments.select(F.col("street").alias("other"), *SEGMENT, spread.alias("cell"))
     home = F.struct(F.floor(F.col("x") / limit).alias("cx"), F.floor(F.col("y") / limit).alias("cy"))
     distance = G.nearest_on_segment(*(F.col(c) for c in ("x", "y", *SEGMENT)))[2]
-    near = ends.withColumn("cell", home).join(others, "cell").where(F.col("street") != F.col("other")).where(distance <= limit)
-    close = near.select("street").unionByName(near.select(F.col("other").alias("street"))).distinct().withColumn("close", F.lit(True))
-    return segments.select("street").distinct().join(close, "street", "left").select("street", F.col("close").isNull().alias("alone"))
+    near = vertices(segments).withColumn("cell", home).join(others, "cell").where(F.col("street") < F.col("other")).where(distance <= limit).select("street", "other").distinct()
+    return near.unionByName(near.select(F.col("other").alias("street"), F.col("street").alias("other")))
+
+
+def lonely(matched: DataFrame, segments: DataFrame, limit: float = 300.0) -> DataFrame:
+    """(sheet, label_id, alone) from a label's streets (sheet, label_id, street): whether all other streets matched on its sheet
+    are farther than ``limit`` from its own. Without another street on the sheet a label is not alone."""
+    matched = matched.select("sheet", "label_id", "street").distinct()
+    on_sheet = matched.select("sheet", "street").distinct()
+    total = on_sheet.groupBy("sheet").agg(F.count("*").alias("total"))
+    own = matched.groupBy("sheet", "label_id").agg(F.count("*").alias("own"))
+    used = segments.join(on_sheet.select("street").distinct(), "street", "left_semi")
+    others = on_sheet.withColumnRenamed("street", "other")
+    close = matched.join(close_streets(used, limit), "street").join(others, ["sheet", "other"]).select("sheet", "label_id", "other")
+    close = close.join(matched.withColumnRenamed("street", "other"), ["sheet", "label_id", "other"], "left_anti").select("sheet", "label_id").distinct().withColumn("close", F.lit(True))
+    judged = own.join(total, "sheet").join(close, ["sheet", "label_id"], "left")
+    return judged.select("sheet", "label_id", (F.col("close").isNull() & (F.col("total") > F.col("own"))).alias("alone"))
 
 
 def longest_segment(segments: DataFrame, inside: Column) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 
 from pyspark.sql import functions as F
 
 from seamline.functions import udtfs
 from seamline.plans import query
+from seamline.session import shared_dir
 from seamline.sources import layers, sinks
 from seamline.sources.views import table, view
 from seamline.streaming import log
@@ -18,7 +18,7 @@ SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (P
 """)
 def stream_latest(spark, d):
     """The stream, run to its end, holds what the batch query gives."""
-    work = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='seamline-')}/stream-{spark.range(1).select(F.uuid()).first()[0]}"
+    work = f"{shared_dir(spark)}/stream-{spark.range(1).select(F.uuid()).first()[0]}"
     batch = table(spark, d, "events")
     path = f"{work}/in"
     batch.repartition(4).write.parquet(path)

@@ -1,4 +1,4 @@
-"""Queries of sequential and iterative operators; those without SQL are tested against brute force."""
+"""Queries of sequential and iterative operators; those without SQL are tested against a plain re-derivation."""
 
 from __future__ import annotations
 
@@ -36,7 +36,7 @@ def dedupe_tokens(spark, d):
 
 @query()
 def fit_pose(spark, d):
-    labels = view(spark, d, "v_labels").withColumn("street", F.concat("text", F.lit(" ST"))).where("sheet < 4")
+    labels = view(spark, d, "v_labels").withColumn("street", F.concat("text", F.lit(" ST")))
     segments = view(spark, d, "v_segments")
     grid = [(200.0 + 300.0 * i, 200.0 + 300.0 * j) for i in range(5) for j in range(5)]
     seeds = pose.beam(pose.coarse_search(labels, segments, [0.5, 1.0], [0.0, 90.0], grid), 6)
@@ -70,8 +70,4 @@ def label_spread(spark, d):
     )
     one = table(spark, d, "supplier").select(F.col("s_suppkey").alias("a"), (F.col("s_suppkey") + 1).alias("b"), F.expr("1 + s_suppkey % 6").alias("shared"))
     both = one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seamline-"))
     return fits.label_spread(nodes, both).select("node", "street")

@@ -89,7 +89,7 @@ def place_queries(spark, d):
     return label.select("tok_id", J.place_query(F.col("l.name"), F.col("l.typ")).alias("query"))
 
 
-_NUMERALS = "SELECT l_orderkey % 200 AS block, CAST(l_linenumber AS STRING) AS number, l_quantity * 1.0e0 AS height, (l_partkey % 200 - 100) * 1.0e0 AS dist, l_suppkey % 3 = 0 AS bold FROM {lineitem} WHERE l_orderkey < 2000"
+_NUMERALS = "SELECT l_orderkey AS block, CAST(l_linenumber AS STRING) AS number, l_quantity * 1.0e0 AS height, (l_partkey % 200 - 100) * 1.0e0 AS dist, l_suppkey % 3 = 0 AS bold FROM {lineitem}"
 
 
 @query(f"""
@@ -144,12 +144,12 @@ def fit_rollup(spark, d):
 
 
 @query("""
-WITH t AS (SELECT vec_id % 40 AS sheet, vec_id AS tint, vec_id * 29 % 360 AS angle FROM embeddings WHERE vec_id < 300),
-b AS (SELECT *, CASE WHEN angle >= 330 OR angle < 30 THEN 'pink' WHEN angle < 100 THEN 'yellow' WHEN angle < 190 THEN 'green' WHEN angle < 290 THEN 'blue' ELSE 'purple' END AS base FROM t)
-SELECT sheet, tint, angle, CASE WHEN count(*) OVER (PARTITION BY sheet, base) > 1 THEN concat(base, ' ', row_number() OVER (PARTITION BY sheet, base ORDER BY angle, tint)) ELSE base END AS name FROM b
+WITH t AS (SELECT vec_id // 6 AS sheet, vec_id AS tint, vec_id * 29 % 360 AS angle FROM embeddings),
+b AS (SELECT *, CASE WHEN angle <= 35 OR angle >= 325 THEN 'pink' WHEN angle <= 130 THEN 'yellow' WHEN angle <= 200 THEN 'green' WHEN angle <= 300 THEN 'blue' ELSE 'purple' END AS base FROM t)
+SELECT sheet, tint, angle, CASE WHEN count(*) OVER (PARTITION BY sheet, base) > 1 THEN concat(base, row_number() OVER (PARTITION BY sheet, base ORDER BY tint)) ELSE base END AS name FROM b
 """)
 def tint_names(spark, d):
-    rows = table(spark, d, "embeddings").where("vec_id < 300").select((F.col("vec_id") % 40).alias("sheet"), F.col("vec_id").alias("tint"), (F.col("vec_id") * 29 % 360).alias("angle"))
+    rows = table(spark, d, "embeddings").select(F.expr("vec_id div 6").alias("sheet"), F.col("vec_id").alias("tint"), (F.col("vec_id") * 29 % 360).alias("angle"))
     return J.tint_names(rows)
 
 

@@ -54,14 +54,25 @@ def densest_seed(spark, d):
     return streets.densest(_seeds(spark, d), 120.0)
 
 
+_MATCHED = "SELECT DISTINCT sheet, label_id, street FROM v_labels JOIN (SELECT DISTINCT street FROM v_segments) k ON street IN (concat(text, ' ST'), concat(text, ' AVE'))"
+
+
 @query(f"""
-WITH e AS ({_ENDS}), m AS (SELECT e.street, s.street AS other, {_U.format(px='x', py='y')} AS u, x, y, ax, ay, bx, by_ FROM e JOIN v_segments s ON e.street <> s.street
-  AND x BETWEEN least(ax, bx) - 45 AND greatest(ax, bx) + 45 AND y BETWEEN least(ay, by_) - 45 AND greatest(ay, by_) + 45),
-c AS (SELECT street, other FROM m WHERE {_DIST.format(px='x', py='y')} <= 45)
-SELECT DISTINCT street, street NOT IN (SELECT street FROM c) AND street NOT IN (SELECT other FROM c) AS alone FROM v_segments
+WITH m AS ({_MATCHED}), u AS (SELECT * FROM v_segments WHERE street IN (SELECT street FROM m)),
+v AS (SELECT *, row_number() OVER (PARTITION BY street ORDER BY seg_id, k) - 1 AS i, count(*) OVER (PARTITION BY street) AS n
+  FROM (SELECT street, seg_id, 0 AS k, ax AS px, ay AS py FROM u UNION ALL SELECT street, seg_id, 1, bx, by_ FROM u)),
+g AS (SELECT v.street, t.street AS other, {_U.format(px='px', py='py')} AS u, px, py, ax, ay, bx, by_ FROM v JOIN u t ON v.street < t.street WHERE i % greatest(n // 60, 1) = 0),
+gap AS (SELECT street, other, min({_DIST.format(px='px', py='py')}) AS d FROM g GROUP BY ALL),
+pairs AS (SELECT * FROM gap UNION ALL SELECT other, street, d FROM gap),
+o AS (SELECT m.sheet, m.label_id, min(d) AS nearest FROM m JOIN pairs USING (street) JOIN (SELECT DISTINCT sheet, street AS other FROM m) k ON k.sheet = m.sheet AND k.other = pairs.other
+  WHERE (m.sheet, m.label_id, pairs.other) NOT IN (SELECT (sheet, label_id, street) FROM m) GROUP BY ALL)
+SELECT DISTINCT m.sheet, m.label_id, coalesce(nearest > 45, false) AS alone FROM m LEFT JOIN o USING (sheet, label_id)
 """)
 def lonely_streets(spark, d):
-    return streets.lonely(view(spark, d, "v_segments"), 45.0)
+    layer = view(spark, d, "v_segments")
+    named = F.explode(F.array(F.concat("text", F.lit(" ST")), F.concat("text", F.lit(" AVE"))))
+    matched = view(spark, d, "v_labels").select("sheet", "label_id", named.alias("street")).join(layer.select("street").distinct(), "street", "left_semi")
+    return streets.lonely(matched, layer, 45.0)
 
 
 @query("""
@@ -165,7 +176,7 @@ def nearest_segment(spark, d):
     return found.select(F.col("point_id").alias("label_id"), "seg_id", F.round("dist", 6).alias("dist"))
 
 
-_RINGS = """SELECT p_partkey AS ring_id, (p_partkey * 71 % 41) * 40.0e0 + 3.5e0 AS x0, (p_partkey * 113 % 43) * 40.0e0 + 5.3125e0 AS y0, 20.0e0 + p_size AS w, 30.0e0 + p_size % 7 * 4 AS h FROM part WHERE p_partkey % 8 = 0"""
+_RINGS = """SELECT p_partkey AS ring_id, (p_partkey * 71 % 41) * 40.0e0 + 3.5e0 AS x0, (p_partkey * 113 % 43) * 40.0e0 + 5.3125e0 AS y0, 20.0e0 + p_size AS w, 30.0e0 + p_size % 7 * 4 AS h FROM part"""
 
 
 def _rings(spark, d):

@@ -22,3 +22,16 @@ def ship(spark: SparkSession) -> None:
     archive = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="seamline-")) / "seamline"), "zip", root, "seamline")
     spark.sparkContext.addPyFile(archive)
     _shipped.add(application)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, ``spark.checkpoint.dir``; only a local master may leave it unset."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not found:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="seamline-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(found)
+    return str(found).rstrip("/")

@@ -111,9 +111,11 @@ def canon(text: Column) -> Column:
     return let(norm_label(text), lambda label: F.concat_ws(" ", label["name"], label["typ"]))
 
 
-def spell_key(name: Column) -> Column:
-    """A key that folds historic spellings: TH, PH, DT, hard C and a Y that is not initial."""
+def spell_key(name: Column, exact: bool = False) -> Column:
+    """A key that folds historic spellings: TH, PH, DT, hard C and a Y that is not initial; if ``exact``, the name itself."""
     s = F.upper(name)
+    if exact:
+        return s
     for old, new in (("TH", "T"), ("PH", "F"), ("DT", "T")):
         s = F.replace(s, F.lit(old), F.lit(new))
     return F.regexp_replace(F.regexp_replace(s, "C(?=[AOULR])", "K"), "(?<=[A-Z])Y", "I")
@@ -181,3 +183,8 @@ def fuzzy_match(label: Column, name: Column) -> Column:
     allowed = F.when(F.least(F.length(label), F.length(name)) >= 9, 2).otherwise(1)
     slip = (F.length(label) >= 6) & (F.abs(gap) <= 2) & (F.levenshtein(label, name) <= allowed)
     return (label != name) & (fragment | slip)
+
+
+def display_name(name: Column, typ: Column) -> Column:
+    """Name and type as a viewer shows them."""
+    return F.upper(F.trim(F.concat(F.coalesce(name, F.lit("")), F.lit(" "), F.coalesce(typ, F.lit("")))))

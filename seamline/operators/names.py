@@ -63,20 +63,21 @@ def stated_scale(tokens: DataFrame) -> DataFrame:
     return counts.withColumn("rn", F.row_number().over(best)).where("rn = 1").select("sheet", "rank", "feet")
 
 
-def match_streets(labels: DataFrame, streets: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+def match_streets(labels: DataFrame, streets: DataFrame, aliases: DataFrame | None = None, exact: bool = False) -> DataFrame:
     """(text, street) matches of distinct label texts with distinct layer names, by a ladder of keys.
 
     Equal keys, layer names without their leading direction, then names without
     leading words if nothing else fits; then only those of the label's
     direction and of its type, if there are any. Every step is an equality
-    join on a key, so the layer is never crossed with the labels.
+    join on a key, so the layer is never crossed with the labels. Historic
+    spellings are folded unless names must be ``exact``.
     """
     label = X.norm_label(F.col("text"))
     texts = labels.select("text").distinct().withColumn("label", label)
     usable = (F.length("label.name") >= 3) & ~(F.col("label.typ").isNull() & (X.type_of(F.col("label.name")).isNotNull() | X.is_direction(F.col("label.name"))))
     texts = texts.where(usable).select("text", F.col("label.name").alias("name"), F.col("label.typ").alias("typ"))
     layer = streets.select("street").distinct().withColumn("base", X.base_name(F.col("street")))
-    rung = lambda key, step: F.struct(X.spell_key(key).alias("key"), F.lit(step).alias("step"))
+    rung = lambda key, step: F.struct(X.spell_key(key, exact).alias("key"), F.lit(step).alias("step"))
     keys = layer.select("street", F.explode(F.array(rung(F.col("base"), 0), rung(X.strip_direction(F.col("base")), 0), rung(X.strip_leading(F.col("base")), 1))).alias("k"))
     asked = texts.select("*", F.explode(F.array(rung(F.col("name"), 0), rung(X.strip_leading(F.col("name")), 1))).alias("k"))
     keys, asked = keys.select("street", "k.*").where("key IS NOT NULL"), asked.select("text", "typ", "k.*").where("length(key) >= 3")

@@ -12,7 +12,7 @@ from seamline.sources.views import oracle as with_views
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 FLAGSHIP = "pose_coarse_search"
-_MODULES = ("runlog", "sequences", "names", "tokens", "streets", "places", "fits", "connectors", "judgements", "extras")
+_MODULES = ("runlog", "sequences", "names", "tokens", "streets", "places", "fits", "connectors", "judgements", "locate", "extras")
 
 
 def query(sql: str | None = None) -> Callable:

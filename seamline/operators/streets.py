@@ -64,6 +64,19 @@ def nearest_segment(points: DataFrame, segments: DataFrame, cell: float, rings:
     return points.join(best, "point_id", "left").select(*points.columns, F.col("best.seg_id").alias("seg_id"), F.col("best.d").alias("dist"))
 
 
+def nearest_of_all(points: DataFrame, segments: DataFrame, cell: float) -> DataFrame:
+    """The nearest segment of every point, however far: what finds none within a cell asks again with cells four times as wide."""
+    out, left, size = None, points, cell
+    while True:
+        found = nearest_segment(left, segments, size)
+        told = found.where("seg_id IS NOT NULL")
+        out = told if out is None else out.unionByName(told)
+        left = found.where("seg_id IS NULL").select(*points.columns)
+        if segments.isEmpty() or left.isEmpty():
+            return out.unionByName(found.where("seg_id IS NULL")) if segments.isEmpty() else out
+        size *= 4
+
+
 def vertices(segments: DataFrame, most: int = 60) -> DataFrame:
     """(street, x, y): the ends of a street's segments in order, every n-th of those of a street with more than ``most``."""
     ends = F.array(*(F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("ax", "ay"), ("bx", "by_"))))

@@ -24,8 +24,7 @@ def stream_latest(spark, d):
     batch.repartition(4).write.parquet(path)
     run = log.keep_latest(log.log_stream(spark, path, batch.schema), f"{work}/out", f"{work}/state", ["user_id", "event_type"], "ts", "event_id")
     run.awaitTermination()
-    last = run.lastProgress["batchId"] if run.lastProgress else 0
-    return spark.read.parquet(f"{work}/out/v={last}").select("user_id", "event_type", "event_id", "value")
+    return log.latest(spark, f"{work}/out").select("user_id", "event_type", "event_id", "value")
 
 
 @query("SELECT label_id, format('{:.3f},{:.3f},{:.3f},{:.3f},1,0,0,{:.3f}', px * 0.5e0, py * 0.25e0, px, -py, (label_id % 8) * 0.125e0) AS line FROM v_labels")

@@ -143,10 +143,10 @@ def catalogue_ids(spark, d):
 
 
 @query("""
-SELECT hit_id, concat('fetch-streets --bbox=', printf('%.4f', lat), ',', printf('%.4f', lon), ',', printf('%.4f', lat + 0.5), ',', printf('%.4f', lon + 0.25), ' --out n', lower(name[2:]), '_streets.geojson') AS command, CAST(hit_id % 900 AS VARCHAR) AS sheet FROM v_hits WHERE hit_id % 900 > 0
+SELECT hit_id, concat('fetch-streets --bbox=', printf('%.4f', lat + 3e-5), ',', printf('%.4f', lon + 3e-5), ',', printf('%.4f', lat + 0.5 + 3e-5), ',', printf('%.4f', lon + 0.25 + 3e-5), ' --out n', lower(name[2:]), '_streets.geojson') AS command, CAST(hit_id % 900 AS VARCHAR) AS sheet FROM v_hits WHERE hit_id % 900 > 0
 """)
 def fetch_commands(spark, d):
-    hits = view(spark, d, "v_hits").where("hit_id % 900 > 0").selectExpr("hit_id", "name", "lat AS s", "lon AS w", "lat + 0.5 AS n", "lon + 0.25 AS e")
+    hits = view(spark, d, "v_hits").where("hit_id % 900 > 0").selectExpr("hit_id", "name", "lat + 3e-5 AS s", "lon + 3e-5 AS w", "lat + 0.5 + 3e-5 AS n", "lon + 0.25 + 3e-5 AS e")
     stem = F.concat(F.lit("01352_1889-p"), F.lpad((F.col("hit_id") % 900).cast("string"), 4, "0"))
     return hits.select("hit_id", locate.fetch_command(F.lower("name")).alias("command"), locate.sheet_number(stem).alias("sheet"))
 

@@ -176,6 +176,18 @@ def nearest_segment(spark, d):
     return found.select(F.col("point_id").alias("label_id"), "seg_id", F.round("dist", 6).alias("dist"))
 
 
+@query(f"""
+WITH p AS (SELECT label_id, px * 4 AS px, py AS py FROM v_labels), m AS (SELECT label_id, seg_id, {_U.format(px='px', py='py')} AS u, px, py, ax, ay, bx, by_ FROM p, v_segments),
+c AS (SELECT label_id, min({_DIST.format(px='px', py='py')}) AS d FROM m GROUP BY label_id)
+SELECT label_id, round(d, 6) AS dist FROM c
+""")
+def nearest_at_any_distance(spark, d):
+    """Points far outside of the layer find their segment too."""
+    points = view(spark, d, "v_labels").select(F.col("label_id").alias("point_id"), (F.col("px") * 4).alias("px"), "py")
+    found = streets.nearest_of_all(points, view(spark, d, "v_segments"), 100.0)
+    return found.select(F.col("point_id").alias("label_id"), F.round("dist", 6).alias("dist"))
+
+
 _RINGS = """SELECT p_partkey AS ring_id, (p_partkey * 71 % 41) * 40.0e0 + 3.5e0 AS x0, (p_partkey * 113 % 43) * 40.0e0 + 5.3125e0 AS y0, 20.0e0 + p_size AS w, 30.0e0 + p_size % 7 * 4 AS h FROM part"""
 
 

@@ -1,4 +1,4 @@
-"""Every query with SQL gives the rows DuckDB gives; the others give the rows of a plain re-derivation."""
+"""Every query with SQL gives the rows DuckDB gives; the others run here and are re-derived in test_rederived.py."""
 
 import math
 from pathlib import Path

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seamline.functions import geo as G
-from seamline.operators import names, streets
+from seamline.operators import streets
 from seamline.plans import query
 from seamline.plans.names import spell_sql, base_sql, turned_sql
 from seamline.sources.views import table, view

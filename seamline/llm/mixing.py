@@ -157,9 +157,9 @@ def mixture(docs: DataFrame, stash: Stash) -> DataFrame:
     The text of a document that the budget cuts keeps its first words, joined by single spaces.
     """
     names = docs.columns
-    held = stash.put("mix-rows", docs.select(F.struct(*names).alias("row"), F.col("doc_id"), F.col("text"), F.col("source"), F.monotonically_increasing_id().alias("id")))
+    held = stash.put("mix-rows", docs.select(F.struct(*names).alias("row"), F.monotonically_increasing_id().alias("id")))
     turns = F.filter(F.transform(F.arrays_zip("served", "finish"), lambda x: x), lambda x: x["served"] > 0)
-    served = mix(held, stash, ["id"]).select("row.id", "size", "rank", F.explode(turns).alias("x")).select("id", "size", "rank", "x.served", "x.finish")
+    served = mix(held.select("id", "row.doc_id", "row.text", "row.source"), stash, ["id"]).select("row.id", "size", "rank", F.explode(turns).alias("x")).select("id", "size", "rank", "x.served", "x.finish")
     joined = held.select("id", "row").join(served, "id")
     cut = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0)), 1, F.col("served").cast("int")), " ")
     told = joined.withColumn("cut", F.when(F.col("served") < F.col("size"), cut).otherwise(F.col("row.text")))

@@ -221,10 +221,7 @@ def outline_home(spark, d):
 
 @query(f"WITH {_HELD} SELECT ring_id, count(*) AS n FROM h GROUP BY ring_id")
 def point_in_ring(spark, d):
-    points = view(spark, d, "v_labels").select("label_id", "px", "py")
-    rings = _rings(spark, d).select("ring_id", "ring", F.explode(G.cells(F.col("ring")[0]["x"], F.col("ring")[0]["y"], F.col("ring")[1]["x"], F.col("ring")[3]["y"], 64.0)).alias("cell"))
-    home = F.struct(F.floor(F.col("px") / 64).alias("cx"), F.floor(F.col("py") / 64).alias("cy"))
-    return points.withColumn("cell", home).join(rings, "cell").where(G.inside(F.col("px"), F.col("py"), F.col("ring"))).groupBy("ring_id").agg(F.count("*").alias("n"))
+    return streets.ring_counts(view(spark, d, "v_labels"), _rings(spark, d), 64.0)
 
 
 @query(f"""

@@ -135,6 +135,14 @@ def in_reach(labels: DataFrame, segments: DataFrame, centres: DataFrame, radius:
     return met, labels.select("sheet", "label_id").distinct().join(met, ["sheet", "label_id"], "left_anti")
 
 
+def reach_counts(labels: DataFrame, segments: DataFrame, centres: DataFrame, radius: float) -> DataFrame:
+    """(sheet, label_id, segments): how many segments ``in_reach`` keeps for each label, 0 too. A sheet's labels of one street are counted together."""
+    streets = labels.select("sheet", "street").distinct().withColumn("label_id", F.lit(0))
+    counts = in_reach(streets, segments.withColumn("seg_id", F.col("street")), centres, radius)[0].groupBy("sheet", F.col("seg_id").alias("street")).agg(F.count("*").alias("segments"))
+    told = labels.join(counts.hint("merge"), ["sheet", "street"], "left")
+    return told.groupBy("sheet", "label_id").agg(F.sum(F.coalesce("segments", F.lit(0))).alias("segments"))
+
+
 def labels_inside(labels: DataFrame, rings: DataFrame, cell: float = 64.0) -> DataFrame:
     """(ring_id, inliers, outliers): labels of (label_id, px, py, outlier) inside each ring, rings without any too."""
     held = labels.withColumnRenamed("label_id", "point_id").join(_in_rings(labels, rings, cell), "point_id")

@@ -237,9 +237,8 @@ SELECT l.sheet, l.label_id, count(seg_id) AS segments, count(seg_id) = 0 AS drop
 def candidate_radius(spark, d):
     labels = view(spark, d, "v_labels").select("sheet", "label_id", F.concat("text", F.lit(" ST")).alias("street"))
     centres = labels.select("sheet").distinct().select("sheet", (400.0 + F.col("sheet") % 5 * 200).alias("cx"), F.lit(700.0).alias("cy"))
-    kept, lost = sheets.in_reach(labels, view(spark, d, "v_segments"), centres, 500.0)
-    counts = kept.groupBy("sheet", "label_id").agg(F.count("*").alias("segments"))
-    return counts.withColumn("dropped", F.lit(False)).unionByName(lost.withColumns({"segments": F.lit(0).cast("long"), "dropped": F.lit(True)}))
+    counts = sheets.reach_counts(labels, view(spark, d, "v_segments"), centres, 500.0)
+    return counts.withColumn("dropped", F.col("segments") == 0)
 
 
 @query("""

@@ -1,6 +1,7 @@
 """Operators on single texts, with hard rows."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -367,6 +368,19 @@ def test_lattices_decide(spark, monkeypatch):
     assert set(model["lexicon"]) == {"idiot", "moron", "scum"}
 
 
+def test_one_sure_word_in_a_long_text(spark):
+    """All toxic rows hold two words; a long text with one of them is toxic too, one with a word seen a few times is not."""
+    rng, plain = random.Random(4), [f"w{a}{b}" for a in "abcdefgh" for b in "ijklmnop"]
+    plain = [w[1:] * 2 for w in plain]
+    say = lambda n: [rng.choice(plain) for _ in range(n)]
+    rows = [(i, " ".join(say(30) + (["idiot", "moron"] + ["seldom"] * (i < 32) if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(2000)]
+    asked = [(5000 + i, " ".join([*say(300), w, *say(300)])) for i, w in enumerate(["idiot", "m.o.r.o.n", "1d10t", "seldom", "house"])]
+    docs = spark.createDataFrame([r[:2] for r in rows] + asked, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, y long")
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels, Stash(spark)).collect()}
+    assert [got[5000 + i] >= 0.5 for i in range(5)] == [True, True, True, False, False]
+
+
 def test_every_path_through_a_known_word_is_decoded():
     """Written over at random, each word is handed to the decoder, whatever stands around it."""
     import random

@@ -323,6 +323,39 @@ def test_passages_in_crowds_and_repeated_ids(spark, crowd, monkeypatch):
     assert len(got) < 10 * len(rows)
 
 
+def test_passages_with_all_partners(spark):
+    """Each of 24 texts holds a passage with words of its own in it: every two of them are partners."""
+    rng = random.Random(21)
+    own = lambda n: [f"u{rng.random():.12f}" for _ in range(n)]
+    words = own(80)
+    rows = [(i, " ".join(own(20) + changed(words, 0.96, "random", rng, own) + own(20))) for i in range(24)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), Stash(spark)).collect()
+    assert {(r["doc_id"], r["partner_id"]) for r in got} == {(i, j) for i in range(24) for j in range(24) if i != j}
+
+
+def test_passages_of_crowds_by_class(spark, monkeypatch):
+    """One form of two lines in all texts, with the passages of six families around and between them: where hardly any
+    two texts of a seed meet, the classes are those of all pairs."""
+    rng = random.Random(22)
+    own = lambda n: [f"u{rng.random():.12f}" for _ in range(n)]
+    one, two = own(9), own(9)
+    families = [(own(30), own(25), own(30)) for _ in range(6)]
+    rows = []
+    for i in range(54):
+        a, b, c = families[i % 6] if i < 48 else (own(30), own(25), own(30))
+        text = changed(a + one + b + two + c, 0.94, "random", rng, own) if i < 48 else a + one + b + two + c
+        rows.append((i, " ".join(own(10) + text + own(10))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(passages, "CROWD", 1000)
+    every = passages.repeated_passages(docs, Stash(spark)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in every} == {(i, i % 6) for i in range(48)}
+    assert {(r["doc_id"], r["partner_id"]) for r in every} == {(i, j) for i in range(48) for j in range(48) if i != j and i % 6 == j % 6}
+    monkeypatch.setattr(passages, "CROWD", 3)
+    some = passages.repeated_passages(docs, Stash(spark)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in some} == {(i, i % 6) for i in range(48)}
+    assert {(r["doc_id"], r["partner_id"]) for r in some} <= {(r["doc_id"], r["partner_id"]) for r in every}
+
+
 def test_parts_of_an_alignment():
     rng = random.Random(8)
     for _ in range(60):

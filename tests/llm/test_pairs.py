@@ -333,6 +333,37 @@ def test_passages_with_all_partners(spark):
     assert {(r["doc_id"], r["partner_id"]) for r in got} == {(i, j) for i in range(24) for j in range(24) if i != j}
 
 
+def test_seeds_of_runs_of_one_word():
+    """Few seeds, told from either end, so that runs of other lengths meet at both."""
+    h, at, _ = passages.seeds("x y z " + "the " * 1000 + "u v w")
+    assert len(h) < 300
+    there = dict(zip(h.tolist(), at.tolist(), strict=True))
+    h, at, _ = passages.seeds("a b c d " + "the " * 300 + "e f g h")
+    here = dict(zip(h.tolist(), at.tolist(), strict=True))
+    shifts = {there[k] - here[k] for k in there.keys() & here.keys()}
+    assert {-1, 699} <= shifts
+
+
+def test_passages_of_crowds_of_runs(spark, monkeypatch):
+    """Runs of one word beside words of their own: only those of 50 words or more, or of enough words beside, connect."""
+    def text(i, size):
+        return " ".join([f"a{i}_{j}" for j in range(60)] + ["the"] * size + [f"b{i}_{j}" for j in range(60)])
+
+    sizes = [28 + i % 12 for i in range(20)] + [50, 55, 60, 120]
+    rows = [(i + 1, text(i, n)) for i, n in enumerate(sizes)]
+    rows += [(31, text(31, 28) + " q" + " r s t u v w x y z k l m n o p" * 2), (32, "c d e f g " + text(32, 28).rsplit(" ", 60)[0] + " q" * 1 + " r s t u v w x y z k l m n o p" * 2)]
+    rows.append((33, "the " * 30 + "q" + " r s t u v w x y z k l m n o p" * 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {}
+    for crowd in (1000, 3):
+        monkeypatch.setattr(passages, "CROWD", crowd)
+        found[crowd] = {(r["doc_id"], r["component_id"]) for r in passages.repeated_passages(docs, Stash(spark)).collect()}
+    assert found[3] == found[1000] == {*((i, 21) for i in (21, 22, 23, 24)), (32, 32), (33, 32)}
+    some = spark.createDataFrame([(1, i + 1, 60) for i in range(20)], "seed long, doc_id long, pos int")
+    none = spark.createDataFrame([], "node long, component long")
+    assert passages._beside_unconnected(some, none, docs, Stash(spark)).count() < 190 / 4  # of 190 pairs
+
+
 def test_passages_of_crowds_by_class(spark, monkeypatch):
     """One form of two lines in all texts, with the passages of six families around and between them: where hardly any
     two texts of a seed meet, the classes are those of all pairs."""

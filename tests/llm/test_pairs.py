@@ -344,6 +344,16 @@ def test_seeds_of_runs_of_one_word():
     assert {-1, 699} <= shifts
 
 
+def test_passages_of_long_beside_short_runs():
+    """Two runs beside each other, in one text longer than in the other: the passage lies where they touch."""
+    words = np.array([[1] * 41 + [2] * 41, [1] * 74 + [2] * 74], object)
+    x, y = (np.array(w, np.uint32) for w in words)
+    told = [{int(h): int(p) for h, p in zip(*passages.seeds(" ".join(f"w{i}" for i in w.tolist()))[:2], strict=True)} for w in (x, y)]
+    places = sorted((told[0][h], told[1][h]) for h in told[0].keys() & told[1].keys())
+    found = passages.chains(*(np.array(c) for c in zip(*places, strict=True)))
+    assert any((s, e, rs, re) == (0, 82, 33, 115) for c in found for s, e, rs, re, alike in passages.passages(x, y, *c) if alike == 1)
+
+
 def test_passages_of_crowds_of_runs(spark, monkeypatch):
     """Runs of one word beside words of their own: only those of 50 words or more, or of enough words beside, connect."""
     def text(i, size):

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -449,3 +450,39 @@ def test_common_words():
         got = passages.common(np.array(a, np.uint32), np.array(b, np.uint32))
         straight = sum(v == w for v, w in zip(a, b, strict=False))
         assert got == (straight if len(a) == len(b) and straight >= 0.8 * len(a) else table[-1][-1])
+
+
+def test_seeds_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, v, n)) for v, n in [(2000, 300), (3, 60), (40, 400), (2000, 30), (1, 90), (2000, 3), (9, 5)]] + ["", "é\udcff b", " a  b c d\te "]
+    seed, pos, kind, number = passages.seeds_of(texts)
+    for i, text in enumerate(texts):
+        mine = zip(*(x[number == i].tolist() for x in (seed, pos, kind)), strict=True)
+        assert sorted(mine) == sorted(zip(*(x.tolist() for x in passages.seeds(text)), strict=True))
+
+
+def test_packed_rows_come_back_and_hot_seeds_are_parted():
+    rng = np.random.default_rng(6)
+    seed = np.where(rng.random(5000) < 0.8, 7, rng.integers(-(2**62), 2**62, 5000))
+    rows = [seed, rng.integers(-(2**62), 2**62, 5000), rng.integers(0, 900, 5000), rng.integers(0, 70_000, 5000).astype(np.int32), rng.integers(0, 51, 5000)]
+    for hot, least, most in [(np.array([], np.int64), 4000, 5000), (np.array([7]), 0, 500)]:
+        packs = passages.Packs(passages._PAIRED, 1, 20, hot)
+        packs.add([c[:2000] for c in rows])
+        packs.add([c[2000:] for c in rows])
+        bucket, packed = packs.packed()
+        parts = [passages._unpacked(iter([pa.RecordBatch.from_arrays([packed.slice(i, 1)], names=["packed"])]), passages._PAIRED) for i in range(len(bucket))]
+        assert least <= max(len(p[0]) for p in parts) <= most and len(set(bucket.to_pylist())) == len(bucket)
+        assert sorted(zip(*(np.concatenate(c).tolist() for c in zip(*parts, strict=True)), strict=True)) == sorted(zip(*(c.tolist() for c in rows), strict=True))
+
+
+def test_words_around_are_counted_by_bins_as_by_documents():
+    rng = np.random.default_rng(8)
+    n = 300
+    counts = np.minimum(rng.poisson(0.18, (n, passages.BINS)) + (rng.random((n, passages.BINS)) < 0.02), passages.AGREE).astype(np.uint8)
+    columns = [np.full(n, 1), np.repeat([0, 1], n // 2), np.arange(n) * 3, rng.integers(0, 40, n), np.full(n, 5), rng.random(n) < 0.5]
+    names = ["seed", "part", "doc_id", "class", "most", "asks", "counts"]
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([c.tobytes() for c in counts], pa.binary())], names=names)
+    got = {x for b in passages._may_agree(iter([batch.slice(0, 70), batch.slice(70)])) for x in zip(b.column("doc_id").to_pylist(), b.column("ref").to_pylist(), strict=True)}
+    _, part, doc, of, most, asks = columns
+    want = {(doc[i], doc[j]) for i in np.flatnonzero(asks) for j in range(n) if part[i] == part[j] and of[i] != of[j] and (of[j] == 5 or doc[j] < doc[i]) and np.minimum(counts[i], counts[j]).sum() >= passages.AGREE}
+    assert got == want and 0 < len(got) < asks.sum() * n / 4
